@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelake.functions.text import token_sort
-from pricelake.operators.order import asc, desc, order_key
+from pricelake.operators.order import asc, desc, first_by
 
 # The scorer is shipped to the Python workers with the task (by value), so
 # executors need no copy of this package installed.
@@ -108,8 +108,8 @@ def best_match(queries: DataFrame, candidates: DataFrame, block: list[str],
                threshold: int = 80) -> DataFrame:
     """Best candidate per (block, name): block, name, cand_id, match_score."""
     scored = pair_scores(queries, candidates, block, name, cand_id, threshold)
-    okey = order_key(scored, [desc("match_score"), asc("cand_name"), asc(cand_id)])
+    best = first_by(scored, F.struct(cand_id, "match_score"), [desc("match_score"), asc("cand_name"), asc(cand_id)])
     return (scored.groupBy(*block, name)
-            .agg(F.max_by(F.struct(cand_id, "match_score"), okey).alias("_b"))
+            .agg(best.alias("_b"))
             .select(*block, name, F.col("_b." + cand_id).alias(cand_id),
                     F.col("_b.match_score").alias("match_score")))

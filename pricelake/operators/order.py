@@ -1,17 +1,16 @@
 """Orderings that an aggregate can pick a winner with.
 
-``max_by(row, key)`` is a partial aggregate: every map task reduces its
-share of a key to one row before the shuffle, so a key that holds a third
-of all rows costs one row per task in the exchange, not a third of the
-data in one task.  ``max_by`` only maximises, so every ordering term is
-turned into a value where "larger wins":
-
-* ``desc(c)``  -> ``c``
-* ``asc(c)``   -> ``-c`` for numbers; for strings the UTF-8 bytes are
-  complemented (hex digit ``d -> f - d``) and closed with ``'z'``, which
-  reverses the byte order including the "prefix sorts first" rule.
-
-NULL always loses (NULLS LAST in both directions).
+``keep_one`` is ``min(struct(order..., row...))`` (or ``max``) per key -- a
+partial aggregate: every map task reduces its share of a key to one row
+before the shuffle, so a key holding a third of all rows costs one row per
+task in the exchange instead of a third of the data in one window task.
+
+Each ordering term becomes a struct field compared in the aggregate's
+direction: numbers and timestamps are negated when their direction differs
+from the aggregate's, and the aggregate's direction is chosen so that
+string terms never need reversing.  A boolean "is NULL" flag precedes each
+term so that NULL loses in both directions (NULLS LAST).  The row itself
+follows the order terms, so complete ties still resolve deterministically.
 """
 
 from __future__ import annotations
@@ -37,38 +36,75 @@ def asc(col: str) -> Term:
     return Term(col, False)
 
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+_NEGATABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
+              T.DecimalType, T.TimestampType, T.TimestampNTZType, T.DateType, T.BooleanType)
 
 
-def _larger_wins(df: DataFrame, term: Term) -> Column:
-    c = F.col(term.col)
-    if term.descending:
-        return c
-    dtype = df.schema[term.col].dataType
-    if isinstance(dtype, _NUMERIC):
-        return -c.cast("double") if isinstance(dtype, (T.FloatType, T.DoubleType)) else -c.cast("long")
-    if isinstance(dtype, T.StringType):
-        hexed = F.lower(F.hex(F.encode(c, "UTF-8")))
-        return F.concat(F.translate(hexed, "0123456789abcdef", "fedcba9876543210"), F.lit("z"))
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        micros = F.unix_micros(c.cast("timestamp"))
-        return -micros
+def _negated(c: Column, dtype) -> Column:
+    if isinstance(dtype, T.TimestampNTZType):
+        return -F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    if isinstance(dtype, T.TimestampType):
+        return -F.unix_micros(c)
     if isinstance(dtype, T.DateType):
         return -F.unix_date(c)
     if isinstance(dtype, T.BooleanType):
         return ~c
-    raise TypeError(f"ascending order on {dtype} is not supported")
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return -c.cast("double")
+    if isinstance(dtype, T.DecimalType):
+        return -c
+    return -c.cast("long")
 
 
-def order_key(df: DataFrame, terms: list[Term]) -> Column:
-    """Struct that compares like the given ORDER BY (winner = max)."""
-    return F.struct(*[_larger_wins(df, t).alias(f"_o{i}") for i, t in enumerate(terms)])
+def _reversed_string(c: Column) -> Column:
+    """Byte-order reversal of a string (slow path, only for mixed string
+    directions): complement every UTF-8 byte and close with 'z'."""
+    hexed = F.lower(F.hex(F.encode(c, "UTF-8")))
+    return F.concat(F.translate(hexed, "0123456789abcdef", "fedcba9876543210"), F.lit("z"))
+
+
+def _winner_direction(df: DataFrame, terms: list[Term]) -> bool:
+    """True -> take the max; chosen so that string terms keep their order."""
+    strings = {t.descending for t in terms if not isinstance(df.schema[t.col].dataType, _NEGATABLE)}
+    if len(strings) == 1:
+        return strings.pop()
+    return terms[0].descending if terms else True
+
+
+def _fields(df: DataFrame, terms: list[Term], use_max: bool) -> list[Column]:
+    out = []
+    for i, t in enumerate(terms):
+        c = F.col(t.col)
+        dtype = df.schema[t.col].dataType
+        # NULL loses: under max a NULL flag must be smaller, under min larger.
+        out.append((c.isNotNull() if use_max else c.isNull()).alias(f"_n{i}"))
+        if t.descending == use_max:
+            v = c
+        elif isinstance(dtype, _NEGATABLE):
+            v = _negated(c, dtype)
+        else:
+            v = _reversed_string(c)
+        out.append(v.alias(f"_o{i}"))
+    return out
+
+
+def order_key(df: DataFrame, terms: list[Term]) -> tuple[Column, bool]:
+    """(struct comparing like the ORDER BY, True if the winner is its max)."""
+    use_max = _winner_direction(df, terms)
+    return F.struct(*_fields(df, terms, use_max)), use_max
+
+
+def first_by(df: DataFrame, value: Column, terms: list[Term]) -> Column:
+    """Aggregate: ``value`` of the first row by ``terms`` (NULLS LAST)."""
+    key, use_max = order_key(df, terms)
+    return (F.max_by if use_max else F.min_by)(value, key)
 
 
 def keep_one(df: DataFrame, keys: list[str], order: list[Term]) -> DataFrame:
-    """One row per key, the first by ``order`` (deterministic when the
-    order is total within a key).  Partial aggregation, no window."""
+    """One row per key, the first by ``order``.  Partial aggregation, no window."""
     cols = df.columns
-    return (df.groupBy(*keys)
-            .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order_key(df, order)).alias("_w"))
-            .select(*[F.col("_w." + c).alias(c) for c in cols]))
+    use_max = _winner_direction(df, order)
+    packed = F.struct(*_fields(df, order, use_max), F.struct(*[F.col(c) for c in cols]).alias("_row"))
+    agg = F.max(packed) if use_max else F.min(packed)
+    return (df.groupBy(*keys).agg(agg.alias("_w"))
+            .select(*[F.col("_w._row." + c).alias(c) for c in cols]))

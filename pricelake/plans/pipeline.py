@@ -11,6 +11,7 @@ tables are lazy DataFrames (the ids are still pinned by checkpoints inside
 from __future__ import annotations
 
 import functools
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +30,14 @@ def _table(fn):
     @functools.wraps(fn)
     def wrapper(self):
         if name not in self._memo:
+            # exclusive time: what this table costs beyond its inputs
+            t0, outer, self._child = time.perf_counter(), self._child, 0.0
             df = fn(self)
             if self.materialize and name in self.MATERIALIZED:
                 df = self._write(name, df)
+            elapsed = time.perf_counter() - t0
+            self.timings[name] = elapsed - self._child
+            self._child = outer + elapsed
             self._memo[name] = df
         return self._memo[name]
     return property(wrapper)
@@ -39,7 +45,8 @@ def _table(fn):
 
 class Tables:
     MATERIALIZED = {"bronze_a", "bronze_b", "hist_a", "hist_b", "dim_brand", "dim_category",
-                    "canonical_a", "match_b", "canonical", "store_product", "price_observation"}
+                    "canonical_a", "match_b", "canonical", "store_product", "price_observation",
+                    "gold_price_comparison", "gold_price_trend"}
 
     def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
         self.spark = spark
@@ -47,16 +54,14 @@ class Tables:
         self.materialize = materialize
         self._memo: dict[str, DataFrame] = {}
         self.timings: dict[str, float] = {}
+        self._child = 0.0
         self._root = None
 
     def _write(self, name: str, df: DataFrame) -> DataFrame:
-        import time
         if self._root is None:
             self._root = ensure_checkpoint_dir(self.spark).rstrip("/") + f"/tables-{uuid.uuid4().hex}"
         path = f"{self._root}/{name}"
-        t0 = time.perf_counter()
         df.write.mode("overwrite").parquet(path)
-        self.timings[name] = time.perf_counter() - t0
         return self.spark.read.parquet(path)
 
     # bronze ---------------------------------------------------------------
