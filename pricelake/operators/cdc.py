@@ -24,31 +24,46 @@ START = "__START_AT"
 END = "__END_AT"
 
 
+def _sort_col(t: Term) -> Column:
+    c = F.col(t.col)
+    return c.desc_nulls_last() if t.descending else c.asc_nulls_last()
+
+
+def _bucket_ends(b: DataFrame, keys: list[str], seq: str, out: str) -> DataFrame:
+    """``b`` has one row per (keys, seq) and a ``_bkt`` column.  Adds ``out``:
+    the next ``seq`` of the key -- inside the bucket by window, across buckets
+    from a table with one row per (key, bucket)."""
+    inner = Window.partitionBy(*keys, "_bkt").orderBy(F.col(seq))
+    b = b.withColumn("_nxt", F.lead(seq).over(inner))
+    firsts = b.groupBy(*keys, "_bkt").agg(F.min(seq).alias("_first"))
+    nxt = (firsts.select(*keys, "_bkt", F.lead("_first").over(
+        Window.partitionBy(*keys).orderBy("_bkt")).alias("_next_first"))
+        .where(F.col("_next_first").isNotNull()))
+    joined = b.join(nxt, [*keys, "_bkt"], "left")
+    return joined.withColumn(out, F.coalesce(F.col("_nxt"), F.col("_next_first"))).drop("_bkt", "_nxt", "_next_first")
+
+
 def next_in_key(df: DataFrame, keys: list[str], seq: str, out: str,
                 split: Column | None = None) -> DataFrame:
     """Add ``out`` = smallest ``seq`` of the same key that is larger than
     this row's ``seq`` (rows are unique per (keys, seq))."""
     bucket = split if split is not None else F.to_date(F.col(seq))
-    b = df.withColumn("_bkt", bucket)
-    inner = Window.partitionBy(*keys, "_bkt").orderBy(F.col(seq))
-    b = b.withColumn("_nxt", F.lead(seq).over(inner))
-    firsts = b.groupBy(*keys, "_bkt").agg(F.min(seq).alias("_first"))
-    nxt_bucket = firsts.select(
-        *keys, F.col("_bkt").alias("_prev_bkt"),
-        F.lead("_first").over(Window.partitionBy(*keys).orderBy("_bkt")).alias("_next_first"))
-    nxt_bucket = nxt_bucket.where(F.col("_next_first").isNotNull())
-    joined = b.join(nxt_bucket.withColumnRenamed("_prev_bkt", "_bkt"), [*keys, "_bkt"], "left")
-    return (joined.withColumn(out, F.coalesce(F.col("_nxt"), F.col("_next_first")))
-            .drop("_bkt", "_nxt", "_next_first"))
+    return _bucket_ends(df.withColumn("_bkt", bucket), keys, seq, out)
 
 
 def scd2(events: DataFrame, keys: list[str], seq: str, tie: list[Term] | None = None,
          split: Column | None = None) -> DataFrame:
     """SCD type 2 history over all events (batch).
 
-    Equal (keys, seq) rows collapse to one version chosen by ``tie``."""
-    versions = keep_one(events, [*keys, seq], [desc(seq), *(tie or [])])
-    hist = next_in_key(versions, keys, seq, END, split)
+    Equal (keys, seq) rows collapse to one version chosen by ``tie``: inside
+    each (key, bucket) window the rows are ordered by (seq, tie) and the
+    first row of every seq value is kept; the same partitioning and order
+    then serve ``lead``, so versions and their ends cost one shuffle."""
+    bucket = split if split is not None else F.to_date(F.col(seq))
+    w = Window.partitionBy(*keys, "_bkt").orderBy(F.col(seq).asc(), *[_sort_col(t) for t in (tie or [])])
+    b = events.withColumn("_bkt", bucket).withColumn("_prev", F.lag(seq).over(w))
+    versions = b.where(F.col("_prev").isNull() | (F.col("_prev") != F.col(seq))).drop("_prev")
+    hist = _bucket_ends(versions, keys, seq, END)
     return hist.withColumn(START, F.col(seq)).select(*events.columns, START, END)
 
 

@@ -130,7 +130,7 @@ class Tables:
 
     @_table
     def price_observation(self):
-        return silver.price_observation(self.price_stage)
+        return silver.price_observation_from(self.bronze_a, self.bronze_b, self.store_product)
 
     # gold -----------------------------------------------------------------
     @_table

@@ -239,14 +239,37 @@ def prices_b(raw_b: DataFrame) -> DataFrame:
         F.lit(STORE_B).cast("int").alias("store_id"))
 
 
+def _priced(staged: DataFrame) -> DataFrame:
+    """P12 row filters that do not depend on the bridge."""
+    return staged.where(F.col("regular_price").isNotNull() & F.col("scrape_timestamp").isNotNull()
+                        & F.col("store_sku").isNotNull())
+
+
+def _bridge(rows: DataFrame, sp: DataFrame) -> DataFrame:
+    """Attach store_product / canonical ids (inner: unbridged rows drop)."""
+    bridge = sp.select("store_product_id", "store_id", "store_sku", "canonical_product_id")
+    return rows.join(bridge, ["store_id", "store_sku"], "inner").select(*PRICE_COLS)
+
+
 def enrich_prices(staged: DataFrame, sp: DataFrame) -> DataFrame:
     """J4 + P12: attach store_product / canonical ids; rows without a bridge,
     a regular price or a scrape time are dropped."""
-    bridge = sp.select("store_product_id", "store_id", "store_sku", "canonical_product_id")
-    return (staged.join(bridge, ["store_id", "store_sku"], "left")
-            .where(F.col("regular_price").isNotNull() & F.col("store_product_id").isNotNull()
-                   & F.col("scrape_timestamp").isNotNull())
-            .select(*PRICE_COLS))
+    return _bridge(_priced(staged), sp)
+
+
+# Row rules of the price gate; the bridge rule holds by the inner join.
+_ROW_PRICE_RULES = [r for r in PRICE_RULES if r[0] != "has_store_product_match"]
+
+
+def _deduped(raw_a: DataFrame, raw_b: DataFrame, rules) -> DataFrame:
+    """De-dup + row gate before the bridge.  store_product_id determines
+    (store_id, store_sku) and every row of a SKU gets the same set of bridge
+    ids, so de-duplicating per (store_id, store_sku, ...) and fanning out
+    afterwards equals de-duplicating the fanned-out rows per
+    (store_product_id, ...) -- on fewer rows."""
+    staged = _priced(prices_a(raw_a).unionByName(prices_b(raw_b)))
+    one = keep_one(staged, ["store_id", "store_sku", "scrape_timestamp", "batch_ts"], [asc("raw_hash")])
+    return quality_gate(one, [r for r in rules if r[0] != "has_store_product_match"])
 
 
 def price_stage(raw_a: DataFrame, raw_b: DataFrame, sp: DataFrame, rules=PRICE_RULES) -> DataFrame:
@@ -254,15 +277,21 @@ def price_stage(raw_a: DataFrame, raw_b: DataFrame, sp: DataFrame, rules=PRICE_R
 
     De-dup is on (store_product_id, scrape_timestamp, batch_ts) so a later
     correction (newer batch_ts) still reaches the upsert (D16)."""
-    staged = prices_a(raw_a).unionByName(prices_b(raw_b))
-    enriched = enrich_prices(staged, sp)
-    one = keep_one(enriched, ["store_product_id", "scrape_timestamp", "batch_ts"], [asc("raw_hash")])
-    return quality_gate(one, rules)
+    return _bridge(_deduped(raw_a, raw_b, rules), sp)
 
 
-def price_observation(stage: DataFrame) -> DataFrame:
+def price_observation_from(raw_a: DataFrame, raw_b: DataFrame, sp: DataFrame, rules=PRICE_RULES) -> DataFrame:
     """SCD1 per (store_product_id, scrape_timestamp), sequence batch_ts,
-    with a surrogate observation_id in key order."""
+    with a surrogate observation_id in key order.  The upsert also runs
+    per SKU before the bridge fan-out (same argument as ``_deduped``)."""
+    rows = _deduped(raw_a, raw_b, rules)
+    last = scd1(rows, ["store_id", "store_sku", "scrape_timestamp"], "batch_ts", tie=[asc("raw_hash")])
+    out = dense_ids(_bridge(last, sp), [asc("store_product_id"), asc("scrape_timestamp")], "observation_id")
+    return out.select("observation_id", *PRICE_COLS)
+
+
+def price_observation(stage: DataFrame) -> DataFrame:
+    """M13 over an already bridged price stage (e.g. a stream's output)."""
     last = scd1(stage, ["store_product_id", "scrape_timestamp"], "batch_ts", PRICE_COLS, tie=[asc("raw_hash")])
     out = dense_ids(last, [asc("store_product_id"), asc("scrape_timestamp")], "observation_id")
     return out.select("observation_id", *PRICE_COLS)
