@@ -309,3 +309,11 @@ QUERIES: dict[str, Query] = {
     "gold_promo_share": q_gold_promo_share,
     "gold_basket": q_gold_basket,
 }
+
+
+def _stream_queries() -> dict[str, Query]:
+    from pricelake.streaming.jobs import STREAM_QUERIES
+    return dict(STREAM_QUERIES)
+
+
+QUERIES.update(_stream_queries())

@@ -129,13 +129,19 @@ def with_scrape_date(df: DataFrame):
     return df.withColumn("scrape_date", F.col("scrape_timestamp").cast("date").cast("string"))
 
 
+def _present(df: DataFrame, cols: list[str]) -> list[str]:
+    """Hash columns the rows carry; an absent column (older file layout)
+    hashes like NULL, i.e. it is skipped."""
+    return [c for c in cols if c in df.columns]
+
+
 def bronze_a(raw: DataFrame, hash_cols: list[str] = HASH_COLS_A) -> DataFrame:
     """S5/S6 for feed A: ``source_file`` and ``raw_hash`` on the raw rows."""
     out = raw
     if "source_file" not in out.columns:
         out = out.withColumn("source_file", source_file_of("a"))
-    out = with_scrape_date(out).withColumn("raw_hash", row_hash(hash_cols)).drop("scrape_date")
-    return out
+    out = with_scrape_date(out)
+    return out.withColumn("raw_hash", row_hash(_present(out, hash_cols))).drop("scrape_date")
 
 
 def bronze_b(raw: DataFrame, hash_cols: list[str] = HASH_COLS_B) -> DataFrame:
@@ -143,7 +149,8 @@ def bronze_b(raw: DataFrame, hash_cols: list[str] = HASH_COLS_B) -> DataFrame:
     out = raw
     if "source_file" not in out.columns:
         out = out.withColumn("source_file", source_file_of("b"))
-    out = with_scrape_date(out).withColumn("raw_hash", row_hash(hash_cols)).drop("scrape_date")
+    out = with_scrape_date(out)
+    out = out.withColumn("raw_hash", row_hash(_present(out, hash_cols))).drop("scrape_date")
     price, size, uom = parse_unit_price("CupPrice")
     return out.withColumns({"unit_price": price, "unit_size": size, "unit_uom": uom})
 
