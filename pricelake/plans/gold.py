@@ -133,9 +133,11 @@ _PIVOT = ["a_sku", "b_sku", "a_promo_price", "b_promo_price", "a_regular_price",
 
 
 def price_trend(canon: DataFrame, sp: DataFrame, obs: DataFrame, raw_a: DataFrame, raw_b: DataFrame,
-                hist_a: DataFrame, calendar: DataFrame) -> DataFrame:
+                hist_a: DataFrame, calendar: DataFrame, b_match: str = "sku") -> DataFrame:
     """Weekly prices of products sold by both stores.  Weeks come from
-    the calendar table; rows whose scrape day has no week are dropped."""
+    the calendar table; rows whose scrape day has no week are dropped.
+    ``b_match="hash"`` (D12) ties store B's observations to their own raw
+    row as store A's are, instead of to every raw row of the SKU."""
     base = _bridged(canon, sp)
     cal = F.broadcast(calendar.select("scrape_date", "week_num", "week_start"))
     o = obs.select("store_product_id", "promo_price", "regular_price", "is_on_special", "raw_hash")
@@ -150,10 +152,17 @@ def price_trend(canon: DataFrame, sp: DataFrame, obs: DataFrame, raw_a: DataFram
     # its SKU was scraped in feed B.  Reduce observations per product first.
     per_sp = _contributions(base.join(o, "store_product_id", "left")).groupBy(
         CID, "store_sku", "store_product_id").agg(*[F.max(c).alias(c) for c in _PIVOT])
-    raw_b_days = (raw_b.select(F.col("Stockcode").alias("store_sku"),
-                               F.col("scrape_timestamp").cast("date").alias("scrape_date"))
-                  .distinct().join(cal, "scrape_date").select("store_sku", "week_num", "week_start"))
-    b_rows = per_sp.join(raw_b_days, "store_sku").select(CID, "week_num", "week_start", *_PIVOT)
+    if b_match == "hash":
+        raw_b_hash = (raw_b.select(F.col("Stockcode").alias("store_sku"), "raw_hash",
+                                   F.col("scrape_timestamp").cast("date").alias("scrape_date")).distinct())
+        b_rows = (base.join(o, "store_product_id").join(raw_b_hash, ["store_sku", "raw_hash"])
+                  .join(cal, "scrape_date"))
+        b_rows = _contributions(b_rows).select(CID, "week_num", "week_start", *_PIVOT)
+    else:
+        raw_b_days = (raw_b.select(F.col("Stockcode").alias("store_sku"),
+                                   F.col("scrape_timestamp").cast("date").alias("scrape_date"))
+                      .distinct().join(cal, "scrape_date").select("store_sku", "week_num", "week_start"))
+        b_rows = per_sp.join(raw_b_days, "store_sku").select(CID, "week_num", "week_start", *_PIVOT)
     weekly = a_rows.unionByName(b_rows).groupBy(CID, "week_num", "week_start").agg(
         *[F.max(c).alias(c) for c in _PIVOT])
     weekly = weekly.select(

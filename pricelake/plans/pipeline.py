@@ -48,7 +48,10 @@ class Tables:
                     "canonical_a", "match_b", "canonical", "store_product", "price_observation",
                     "gold_price_comparison", "gold_price_trend"}
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False, **options):
+        """``options``: ``grain`` (D3), ``lookup`` (D7), ``keep_unblocked``
+        (D8), ``b_match`` (D12) -- defaults keep the reference's results."""
+        self.options = {"grain": "sku", "lookup": "name", "keep_unblocked": False, "b_match": "sku", **options}
         self.spark = spark
         self.sf_dir = sf_dir
         self.materialize = materialize
@@ -109,11 +112,13 @@ class Tables:
 
     @_table
     def canonical_a(self):
-        return silver.canonical_a(self.cur_a, self.dim_brand, self.dim_category)
+        return silver.canonical_a(self.cur_a, self.dim_brand, self.dim_category,
+                                  grain=self.options["grain"], lookup=self.options["lookup"])
 
     @_table
     def match_b(self):
-        return silver.match_b(self.hist_b, self.dim_brand, self.dim_category, self.canonical_a)
+        return silver.match_b(self.hist_b, self.dim_brand, self.dim_category, self.canonical_a,
+                              keep_unblocked=self.options["keep_unblocked"], lookup=self.options["lookup"])
 
     @_table
     def canonical(self):
@@ -146,7 +151,8 @@ class Tables:
     @_table
     def gold_price_trend(self):
         return gold.price_trend(self.canonical, self.store_product, self.price_observation,
-                                self.bronze_a, self.bronze_b, self.hist_a, self.calendar)
+                                self.bronze_a, self.bronze_b, self.hist_a, self.calendar,
+                                b_match=self.options["b_match"])
 
 
 _CACHE: dict[tuple, Tables] = {}

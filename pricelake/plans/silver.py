@@ -123,18 +123,29 @@ def dim_category(cur_a: DataFrame, cur_b: DataFrame) -> DataFrame:
     return dense_ids(one, [asc("category_name")], "category_id").select("category_id", "category_name", "ingestion_ts")
 
 
-def dim_lookup(df: DataFrame, brands: DataFrame, categories: DataFrame) -> DataFrame:
-    """Attach brand_id / category_id by exact name (left joins)."""
-    return (df.join(brands.select("brand_name", "brand_id"), "brand_name", "left")
-            .join(categories.select("category_name", "category_id"), "category_name", "left"))
+def dim_lookup(df: DataFrame, brands: DataFrame, categories: DataFrame, lookup: str = "name") -> DataFrame:
+    """Attach brand_id / category_id by exact name (left joins).
 
+    ``lookup="key"`` (D7) matches brands on the trimmed, lower-cased key, so
+    variant spellings of one brand share its id."""
+    if lookup == "key":
+        keyed = df.withColumn("_bk", F.lower(F.trim(F.col("brand_name"))))
+        out = keyed.join(brands.select(F.col("brand_key").alias("_bk"), "brand_id"), "_bk", "left").drop("_bk")
+    else:
+        out = df.join(brands.select("brand_name", "brand_id"), "brand_name", "left")
+    return out.join(categories.select("category_name", "category_id"), "category_name", "left")
 
-def canonical_a(cur_a: DataFrame, brands: DataFrame, categories: DataFrame) -> DataFrame:
+
+def canonical_a(cur_a: DataFrame, brands: DataFrame, categories: DataFrame, grain: str = "sku",
+                lookup: str = "name") -> DataFrame:
     """M5: one canonical row per current A SKU, ids in (signature, sku) order.
 
     SCD2 leaves exactly one open version per (store_id, store_sku) and the
-    store is constant, so the reference's two per-SKU de-dups are no-ops here."""
-    s = dim_lookup(cur_a, brands, categories).withColumn("canonical_signature", signature())
+    store is constant, so the reference's two per-SKU de-dups are no-ops here.
+    ``grain="signature"`` (D3) keeps one row per signature (smallest SKU)."""
+    s = dim_lookup(cur_a, brands, categories, lookup).withColumn("canonical_signature", signature())
+    if grain == "signature":
+        s = keep_one(s, ["canonical_signature"], [asc("store_sku")])
     ids = dense_ids(s, [asc("canonical_signature"), asc("store_sku")], "canonical_product_id")
     return ids.select(*CANONICAL_COLS, "store_sku")
 
@@ -145,14 +156,16 @@ def block_filter(b_rows: DataFrame, canon_a: DataFrame) -> DataFrame:
 
 
 def match_b(hist_b: DataFrame, brands: DataFrame, categories: DataFrame, canon_a: DataFrame,
-            threshold: int = MATCH_SCORE_THRESHOLD) -> DataFrame:
+            threshold: int = MATCH_SCORE_THRESHOLD, keep_unblocked: bool = False,
+            lookup: str = "name") -> DataFrame:
     """M6: latest blocked version of every B SKU with its best A match.
 
     All SCD2 versions take part (D9); the latest blocked version per SKU is
     kept, then its name is matched -- the score depends only on (block, name),
     so this equals matching every version and keeping the latest."""
-    b = dim_lookup(hist_b, brands, categories).withColumn("store_id", F.lit(STORE_B).cast("int"))
-    b = block_filter(b, canon_a)
+    b = dim_lookup(hist_b, brands, categories, lookup).withColumn("store_id", F.lit(STORE_B).cast("int"))
+    if not keep_unblocked:  # D8: by default B rows without A candidates vanish
+        b = block_filter(b, canon_a)
     b = keep_one(b, KEYS, LATEST_B)
     best = best_match(b, canon_a, ["brand_id", "category_id"], threshold=threshold)
     out = b.join(best, ["brand_id", "category_id", "canonical_name"], "left")
