@@ -61,3 +61,13 @@ def test_lcs_long_strings():
     a = "abcdefghij" * 20
     b = "bcdefghija" * 19
     assert lcs_length(a, b) == _lcs_dp(a, b)
+
+
+def test_whitespace_classes_agree(spark):
+    """Java's fast class and the RE2 spelling are both Python's isspace set."""
+    from pricelake.functions.text import WS, WS_PORTABLE
+    chars = [chr(i) for i in range(0x10000) if not (0xD800 <= i < 0xE000)]
+    df = spark.createDataFrame([(c,) for c in chars], "c string")
+    fast = {r.c for r in df.where(F.col("c").rlike("^" + WS + "$")).collect()}
+    portable = {r.c for r in df.where(F.col("c").rlike("^" + WS_PORTABLE + "$")).collect()}
+    assert fast == portable == {c for c in chars if c.isspace()}
