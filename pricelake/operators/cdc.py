@@ -29,13 +29,16 @@ def _sort_col(t: Term) -> Column:
     return c.desc_nulls_last() if t.descending else c.asc_nulls_last()
 
 
-def _bucket_ends(b: DataFrame, keys: list[str], seq: str, out: str) -> DataFrame:
+def _bucket_ends(b: DataFrame, keys: list[str], seq: str, out: str,
+                 firsts_from: DataFrame | None = None) -> DataFrame:
     """``b`` has one row per (keys, seq) and a ``_bkt`` column.  Adds ``out``:
     the next ``seq`` of the key -- inside the bucket by window, across buckets
-    from a table with one row per (key, bucket)."""
+    from a table with one row per (key, bucket).  ``firsts_from`` may give
+    the same (keys, seq, _bkt) values before de-duplication, so the table
+    comes from a partial hash aggregate instead of a second window pass."""
     inner = Window.partitionBy(*keys, "_bkt").orderBy(F.col(seq))
     b = b.withColumn("_nxt", F.lead(seq).over(inner))
-    firsts = b.groupBy(*keys, "_bkt").agg(F.min(seq).alias("_first"))
+    firsts = (firsts_from if firsts_from is not None else b).groupBy(*keys, "_bkt").agg(F.min(seq).alias("_first"))
     nxt = (firsts.select(*keys, "_bkt", F.lead("_first").over(
         Window.partitionBy(*keys).orderBy("_bkt")).alias("_next_first"))
         .where(F.col("_next_first").isNotNull()))
@@ -61,9 +64,10 @@ def scd2(events: DataFrame, keys: list[str], seq: str, tie: list[Term] | None =
     then serve ``lead``, so versions and their ends cost one shuffle."""
     bucket = split if split is not None else F.to_date(F.col(seq))
     w = Window.partitionBy(*keys, "_bkt").orderBy(F.col(seq).asc(), *[_sort_col(t) for t in (tie or [])])
-    b = events.withColumn("_bkt", bucket).withColumn("_prev", F.lag(seq).over(w))
+    bucketed = events.withColumn("_bkt", bucket)
+    b = bucketed.withColumn("_prev", F.lag(seq).over(w))
     versions = b.where(F.col("_prev").isNull() | (F.col("_prev") != F.col(seq))).drop("_prev")
-    hist = _bucket_ends(versions, keys, seq, END)
+    hist = _bucket_ends(versions, keys, seq, END, firsts_from=bucketed.select(*keys, seq, "_bkt"))
     return hist.withColumn(START, F.col(seq)).select(*events.columns, START, END)
 
 
