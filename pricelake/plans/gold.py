@@ -67,11 +67,15 @@ def _a_regular(promo: Column, regular: Column) -> Column:
     return F.when(regular == 0, promo).otherwise(regular)
 
 
-def pivot_prices(joined: DataFrame) -> DataFrame:
+_PIVOT_COLS = ["a_sku", "b_sku", "a_promo_price", "b_promo_price", "a_regular_price", "b_regular_price",
+               "a_is_on_special", "b_is_on_special"]
+
+
+def pivot_prices(joined: DataFrame, by: tuple[str, ...] = (CID,)) -> DataFrame:
     """A2: per canonical product, SKU / promo / regular / special by store."""
     a = F.col("store_id") == STORE_A
     b = F.col("store_id") == STORE_B
-    return joined.groupBy(CID).agg(
+    return joined.groupBy(*by).agg(
         F.max(F.when(a, F.col("store_sku"))).alias("a_sku"),
         F.max(F.when(b, F.col("store_sku"))).alias("b_sku"),
         F.max(F.when(a, F.col("promo_price"))).alias("a_promo_price"),
@@ -101,9 +105,12 @@ def price_comparison(canon: DataFrame, sp: DataFrame, obs: DataFrame, hist_a: Da
     """G1: current prices of products sold by both stores, one row per
     product name variant."""
     joined = current_prices(canon, sp, obs, hist_a, hist_b)
-    piv = pivot_prices(joined)
-    names = product_names(joined, hist_a)
-    cname = joined.select(CID, "canonical_name").distinct()
+    # one pass over ``joined``: maxima per (product, SKU); the product pivot
+    # (max of maxima) and the product's SKUs for its names both read it
+    per_sku = pivot_prices(joined, (CID, "store_sku"))
+    piv = per_sku.groupBy(CID).agg(*[F.max(c).alias(c) for c in _PIVOT_COLS])
+    names = product_names(per_sku, hist_a)
+    cname = per_sku.select(CID).distinct().join(multi_store_products(canon, sp), CID)
     return names.join(cname, CID).join(piv, CID).select(*COMPARISON_COLS)
 
 
