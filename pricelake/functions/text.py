@@ -54,12 +54,16 @@ def _c(col) -> Column:
 def normalize_name(col) -> Column:
     """lower-cased product name with tags, symbols and punctuation runs
     removed and whitespace collapsed to single blanks."""
+    # Rule order: line breaks, dot runs -> blank; lower; symbols removed;
+    # whitespace collapsed; ':'/'.' runs -> blank; whitespace collapsed; trim.
+    # Two passes are folded away without changing the result: line breaks
+    # and dot runs share no characters and both become a blank (one
+    # alternation), and the first collapse is subsumed by the last (the
+    # ':'/'.' rule never looks at whitespace).
     c = _c(col)
-    c = F.regexp_replace(c, BR_TAG, " ")
-    c = F.regexp_replace(c, DOT_RUN, " ")
+    c = F.regexp_replace(c, BR_TAG + "|" + DOT_RUN, " ")
     c = F.lower(c)
     c = F.regexp_replace(c, SYMBOLS, "")
-    c = F.regexp_replace(c, WS + "+", " ")
     c = F.regexp_replace(c, COLON_DOT, " ")
     c = F.regexp_replace(c, WS + "+", " ")
     return F.trim(c)

@@ -71,3 +71,21 @@ def test_whitespace_classes_agree(spark):
     fast = {r.c for r in df.where(F.col("c").rlike("^" + WS + "$")).collect()}
     portable = {r.c for r in df.where(F.col("c").rlike("^" + WS_PORTABLE + "$")).collect()}
     assert fast == portable == {c for c in chars if c.isspace()}
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["a", "B", " ", "  ", "\t", " ", ".", "..", "...", ":", "::", ":.:",
+                                 "<br>", "<BR />", "<br/>", "®", "™", "12", "g", " "]), max_size=12))
+def test_normalize_equals_stepwise_rules(spark, parts):
+    """The folded expression equals the rules applied one by one."""
+    from pricelake.functions.text import COLON_DOT, DOT_RUN, SYMBOLS, WS
+    from pricelake.functions.text import BR_TAG
+    text = "".join(parts)
+    c = F.col("x")
+    for pat, rep in [(BR_TAG, " "), (DOT_RUN, " ")]:
+        c = F.regexp_replace(c, pat, rep)
+    c = F.lower(c)
+    for pat, rep in [(SYMBOLS, ""), (WS + "+", " "), (COLON_DOT, " "), (WS + "+", " ")]:
+        c = F.regexp_replace(c, pat, rep)
+    [(folded, stepwise)] = _one(spark, lambda x: [normalize_name(x), F.trim(c)], [text])
+    assert folded == stepwise
