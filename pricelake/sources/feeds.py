@@ -105,8 +105,12 @@ def spread(df: DataFrame) -> DataFrame:
     in those few tasks; spread such an input over the session's parallelism.
     Inputs with at least that many splits -- any large table -- are left
     alone, so at scale this adds no shuffle."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+    try:
+        n = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()  # planning only, no job
+    except Exception:  # noqa: BLE001 -- no RDD view (e.g. a remote session): leave as is
+        return df
+    return df.repartition(n) if splits < n else df
 
 
 def _full_schema(df: DataFrame, ddl: str) -> DataFrame:
