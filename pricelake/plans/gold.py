@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelake import STORE_A, STORE_B
+from pricelake.operators.joins import join_facts
 from pricelake.plans.params import BASKET_RULES, basket_filter, basket_label
 
 CID = "canonical_product_id"
@@ -47,10 +48,10 @@ def current_prices(canon: DataFrame, sp: DataFrame, obs: DataFrame, hist_a: Data
     stage B (with or without observations)."""
     base = _bridged(canon, sp)
     o = obs.select("store_product_id", "promo_price", "regular_price", "is_on_special", "raw_hash")
-    a = (base.join(o, "store_product_id")
+    a = (join_facts(base, o, "store_product_id")
          .join(hist_a.select("store_sku", "raw_hash"), ["store_sku", "raw_hash"], "left_semi")
          .withColumn("is_on_special", F.coalesce("is_on_special", F.lit(False))))
-    b = (base.join(o, "store_product_id", "left")
+    b = (join_facts(base, o, "store_product_id", keep_unmatched=True)
          .join(hist_b.select("store_sku"), "store_sku", "left_semi"))
     cols = [CID, "canonical_name", "store_id", "store_sku", "store_product_id", "promo_price",
             "regular_price", "is_on_special"]
@@ -152,17 +153,17 @@ def price_trend(canon: DataFrame, sp: DataFrame, obs: DataFrame, raw_a: DataFram
     raw_a_days = (raw_a.where(F.col("id").isNotNull())
                   .select(F.col("id").alias("store_sku"), "raw_hash",
                           F.col("scrape_timestamp").cast("date").alias("scrape_date")).distinct())
-    a_rows = (base.join(o, "store_product_id").join(raw_a_days, ["store_sku", "raw_hash"])
+    a_rows = (join_facts(base, o, "store_product_id").join(raw_a_days, ["store_sku", "raw_hash"])
               .join(cal, "scrape_date"))
     a_rows = _contributions(a_rows).select(CID, "week_num", "week_start", *_PIVOT)
     # B branch: every observation of the store product (or none) x every week
     # its SKU was scraped in feed B.  Reduce observations per product first.
-    per_sp = _contributions(base.join(o, "store_product_id", "left")).groupBy(
+    per_sp = _contributions(join_facts(base, o, "store_product_id", keep_unmatched=True)).groupBy(
         CID, "store_sku", "store_product_id").agg(*[F.max(c).alias(c) for c in _PIVOT])
     if b_match == "hash":
         raw_b_hash = (raw_b.select(F.col("Stockcode").alias("store_sku"), "raw_hash",
                                    F.col("scrape_timestamp").cast("date").alias("scrape_date")).distinct())
-        b_rows = (base.join(o, "store_product_id").join(raw_b_hash, ["store_sku", "raw_hash"])
+        b_rows = (join_facts(base, o, "store_product_id").join(raw_b_hash, ["store_sku", "raw_hash"])
                   .join(cal, "scrape_date"))
         b_rows = _contributions(b_rows).select(CID, "week_num", "week_start", *_PIVOT)
     else:
