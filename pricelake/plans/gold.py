@@ -197,7 +197,7 @@ def _trend_detail(raw: DataFrame, sku_col: str, name_col: str, cur: DataFrame, s
                    "unit_price", "unit_measure", "scrape_timestamp", "raw_hash")
     r = raw.select(F.col(sku_col).alias("store_sku"), F.col(name_col).alias("name"), "raw_hash")
     s = cur.select("store_sku", "raw_hash", "category_name", "brand_name").distinct().drop("raw_hash")
-    return (bridge.join(o, "store_product_id").join(r, ["store_sku", "raw_hash"])
+    return (join_facts(bridge, o, "store_product_id").join(r, ["store_sku", "raw_hash"])
             .join(s, "store_sku", "left")
             .withColumn("scrape_date", F.col("scrape_timestamp").cast("date")))
 
