@@ -216,21 +216,23 @@ def trend_b(raw_b: DataFrame, cur_b: DataFrame, sp: DataFrame, obs: DataFrame) -
 
 def promo_share(trend: DataFrame, exclude_filler: bool = False) -> DataFrame:
     """Share of SKUs on special per (week, category), per store, in percent.
-    The '0' filler SKU counts in the denominator unless ``exclude_filler`` (D6)."""
-    def special(sku, flag):
-        return F.when((F.col(sku) != "0") & F.coalesce(F.col(flag), F.lit(False)), F.col(sku))
-
-    def denom(sku):
-        return F.when(F.col(sku) != "0", F.col(sku)) if exclude_filler else F.col(sku)
-
-    g = trend.select("week_num", "scrape_date", "category_name",
-                     special("b_sku", "b_is_on_special").alias("b_special"), denom("b_sku").alias("b_all"),
-                     special("a_sku", "a_is_on_special").alias("a_special"), denom("a_sku").alias("a_all"))
-    return g.groupBy("week_num", "scrape_date", "category_name").agg(
-        (F.round(F.try_divide(F.count_distinct("b_special"), F.count_distinct("b_all")), 2) * 100)
-        .alias("b_promo_proportion"),
-        (F.round(F.try_divide(F.count_distinct("a_special"), F.count_distinct("a_all")), 2) * 100)
-        .alias("a_promo_proportion"))
+    The '0' filler SKU counts in the denominator unless ``exclude_filler`` (D6).
+
+    "distinct special SKUs / distinct SKUs" is computed as: per (group, SKU)
+    whether the SKU is ever on special, then per group the number of SKUs and
+    of special ones -- two plain aggregates, no distinct-aggregate expansion."""
+    g = ["week_num", "scrape_date", "category_name"]
+
+    def side(p: str) -> DataFrame:
+        sku, flag = F.col(f"{p}_sku"), F.coalesce(F.col(f"{p}_is_on_special"), F.lit(False))
+        per = trend.groupBy(*g, f"{p}_sku").agg(F.max((sku != "0") & flag).alias("_sp"))
+        denom = F.count_if(F.col(f"{p}_sku") != "0") if exclude_filler else F.count(F.lit(1))
+        return per.groupBy(*g).agg(
+            (F.round(F.try_divide(F.count_if(F.col("_sp")), denom), 2) * 100).alias(f"{p}_promo_proportion"))
+
+    b, a = side("b").alias("b"), side("a").alias("a")
+    cond = [F.col(f"b.{c}").eqNullSafe(F.col(f"a.{c}")) for c in g]
+    return b.join(a, cond).select(*[F.col(f"b.{c}").alias(c) for c in g], "b_promo_proportion", "a_promo_proportion")
 
 
 def avg_money(c: Column) -> Column:
