@@ -34,10 +34,20 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    package_on_workers(spark)
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def package_on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did (a
+    cluster's launcher ships it; a local session needs the path)."""
+    env, root = spark.sparkContext.environment, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; only a local session with
     no such setting (tests) gets a fresh scratch folder of its own."""
