@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pricelake.session import ensure_checkpoint_dir
 
@@ -51,3 +52,12 @@ def normalized(col: str = "text") -> Column:
 def n_words(col: str = "text") -> Column:
     """Number of words of the text; null has 0."""
     return F.regexp_count(text_or_empty(col), F.lit(WORD)).cast("long")
+
+
+def map_in_pandas(df: DataFrame, run, schema: str, ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``mapInPandas`` with the nullable id columns carried as text: pandas
+    makes a column of longs with nulls a column of floats."""
+    fields = StructType.fromDDL(schema).fields
+    ddl = ", ".join(f"`{f.name}` {'string' if f.name in ids else f.dataType.simpleString()}" for f in fields)
+    out = df.withColumns({c: F.col(c).cast("string") for c in ids}).mapInPandas(run, ddl)
+    return out.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in fields if f.name in ids})

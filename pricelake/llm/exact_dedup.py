@@ -119,6 +119,16 @@ def exact_dedup(docs: DataFrame, incoming: Column) -> DataFrame:
                     F.lower(F.hex("digest")).alias("text_sha256")))
 
 
+def deduplicated(docs: DataFrame, incoming: Column) -> DataFrame:
+    """The rows of ``docs`` that stay, one for each distinct text, unchanged."""
+    keep = (exact_dedup(docs, incoming).filter("kept")
+            .select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_keep")))
+    texts = docs.withColumn("_digest", _digest())
+    same = (F.col("_digest") == F.col("_keep")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    # at least one row meets each kept one; rows repeated under one doc_id meet it together
+    return texts.join(keep, same).dropDuplicates(["_digest", "_id"]).select(*docs.columns)
+
+
 def later_half(docs: DataFrame) -> Column:
     """Rows above the middle of the doc_id range: the incoming batch when a
     whole table is taken as one snapshot and one batch."""

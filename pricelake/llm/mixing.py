@@ -137,9 +137,9 @@ def _round_source(pdf: pd.DataFrame, cap: float) -> pd.DataFrame:
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, factor: float = FACTOR, cap: float = CAP) -> DataFrame:
-    """One row for each document: doc_id, rid, source, size, source_size,
-    target, rate, copies, taken."""
-    sized = materialize(docs.select("doc_id", "source", n_words().alias("size"),
+    """One row for each document: doc_id, th (hash of its text), source, size,
+    source_size, target, copies, taken."""
+    sized = materialize(docs.select("doc_id", "source", n_words().alias("size"), F.xxhash64("text").alias("th"),
                                     F.monotonically_increasing_id().alias("rid")))
     salts = max(MIN_SALTS, -(-sized.count() // ROWS_PER_SALT))
     salt = F.pmod(F.xxhash64("doc_id", "size"), F.lit(salts)).alias("salt")
@@ -157,7 +157,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, factor: float = FACTOR, cap: float = C
     rated = cells.join(state, "sid").select("sid", "size", "n", rate)
     dealt = rated.groupBy("sid").applyInPandas(lambda pdf: _round_source(pdf, cap),
                                                "sid long, size long, n long, copies long")
-    rows = by_sid(sized).select("doc_id", "rid", "sid", "size", salt)
+    rows = by_sid(sized).select("doc_id", "th", "rid", "sid", "size", salt)
     cell = Window.partitionBy("sid", "size").orderBy("salt")
     upto = F.sum("m").over(cell.rowsBetween(Window.unboundedPreceding, 0))
     parts = (rows.groupBy("sid", "size", "salt").agg(F.count(F.lit(1)).alias("m"))
@@ -165,9 +165,20 @@ def mix(docs: DataFrame, weights=WEIGHTS, factor: float = FACTOR, cap: float = C
              .withColumns({c: F.col(c).cast("decimal(19,0)") for c in ("upto", "n", "copies")})
              .select("sid", "size", "salt", "m",
                      F.expr("(copies * upto) div n - (copies * (upto - m)) div n").alias("k")))
-    rank = F.row_number().over(Window.partitionBy("sid", "size", "salt").orderBy(F.xxhash64("doc_id"), "doc_id", "rid"))
+    rank = F.row_number().over(Window.partitionBy("sid", "size", "salt").orderBy(F.xxhash64("doc_id"), "doc_id", "th", "rid"))
     per_doc = (rows.withColumn("rank", rank).join(parts, ["sid", "size", "salt"])
                .withColumn("copies", F.expr("k div m") + F.when(F.col("rank") <= F.expr("k % m"), 1).otherwise(0)))
     return (per_doc.join(state.select("sid", "source", "source_size", "target"), "sid")
-            .select("doc_id", "rid", "source", "size", "source_size", "target", "copies",
+            .select("doc_id", "th", "source", "size", "source_size", "target", "copies",
                     (F.col("copies") * F.col("size")).alias("taken")))
+
+
+def mixed(docs: DataFrame, weights=WEIGHTS, factor: float = FACTOR, cap: float = CAP) -> DataFrame:
+    """The rows of ``docs``, each as often as the mix takes it, unchanged.
+    (Rows repeated under one doc_id and source are taken as one with the sum
+    of their copies.)"""
+    key = lambda th: F.xxhash64("doc_id", "source", th).alias("_key")
+    taken = mix(docs, weights, factor, cap).groupBy(key("th")).agg(F.sum("copies").alias("_n")).filter("_n > 0")
+    rows = docs.withColumn("_key", key(F.xxhash64("text"))).join(taken.hint("merge"), "_key")
+    return (rows.dropDuplicates(["_key"]).withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
+            .select(*docs.columns))

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import materialize
+from pricelake.llm.common import map_in_pandas, materialize
 from pricelake.llm.tokens import chunk_ids
 
 CAPACITY = 4096
@@ -58,8 +58,8 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_
             at, *cols = zip(*rows) if rows else [()] * 5
             yield pd.DataFrame({"doc_id": pdf["doc_id"].take(list(at)).to_numpy(),
                                 **dict(zip(("piece", "start", "length", "ids_crc32"), cols))})
-    return docs.select("doc_id", "text").mapInPandas(
-        pieces, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return map_in_pandas(docs.select("doc_id", "text"), pieces,
+                         "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 class Plan:
@@ -170,6 +170,5 @@ def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END
         for pdf in batches:
             seq, at = plan.place(pdf["length"].to_numpy(), pdf["rank"].to_numpy())
             yield pdf.drop(columns="rank").assign(sequence_id=seq, offset=at)
-    return (ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
-            .mapInPandas(place, "doc_id long, piece int, start long, length long, ids_crc32 long, "
-                                "sequence_id long, offset long"))
+    return map_in_pandas(ranked.select("doc_id", "piece", "start", "length", "ids_crc32", "rank"), place,
+                         "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
