@@ -13,8 +13,8 @@ windows of a bounded sample of documents (``SAMPLE_DOCS``, by hash of the id)
 whose labels are the base spans.
 
 Decoding is exact Viterbi on whole texts.  A token whose best secret score is
-below its outside score by more than the largest gain any transitions can
-give is outside on every best path, so such tokens cut a text into short
+below its outside score by more than any change of the transitions and of the
+token after it can make good is outside on every best path, so such tokens cut a text into short
 independent stretches; only the rest is decoded step by step.
 
 Edge cases: null and empty texts have no span; an empty table gives an empty
@@ -101,9 +101,11 @@ def token_features(token: str, words: frozenset[str]) -> list[int]:
     n = len(token)
     turns = sum(a.isdigit() != b.isdigit() for a, b in zip(token, token[1:]))
     size = min(n.bit_length() * 2 + (n >> max(0, n.bit_length() - 2) & 1), 14)
-    mix = f"{min(4, 5 * digits // n)}{min(4, 5 * upper // n)}{min(4, 5 * letters // n)}"
-    names = [f"size={size}", f"mix={mix}", f"size,mix={size},{mix}", f"turns={min(turns, 8)},{size}",
-             f"shape={_shape(token)}"]
+    turns = min(turns, 8)
+    both = digits > 0 and letters > 0
+    share = min(4, 5 * digits // n)
+    names = [f"size={size}", f"digits={share}", f"turns={turns}", f"both={both},{size}", f"turns,size={turns},{size}",
+             f"shape={_shape(token)}", f"case={min(4, 5 * upper // n)},{digits > 0},{n > 11}"]
     if token.lower() in words:
         names.append("word=" + token.lower())
     return [_bucket(x) for x in names]
@@ -150,9 +152,17 @@ def windows(text: str) -> list[tuple[list[str], list[int]]]:
     return out
 
 
+def _recased(tokens: list[str], tags: list[int]) -> list[str]:
+    """The window with the letters of its secrets in mixed case: the fixed
+    patterns label mostly one case, secrets come in any."""
+    return ["".join(c.upper() if (k + zlib.crc32(t.encode())) % 3 else c.lower() for k, c in enumerate(t))
+            if tag != O else t for t, tag in zip(tokens, tags)]
+
+
 def train(sample: list[tuple[list[str], list[int], list[int]]], rounds: int = ROUNDS) -> Weights:
     """Weights from (tokens, tags, file features) windows."""
     w = Weights()
+    sample = sample + [(_recased(tokens, tags), tags, of_file) for tokens, tags, of_file in sample if B in tags]
     if not any(B in tags for _, tags, _ in sample):
         return w
     w.trained = True
@@ -164,7 +174,7 @@ def train(sample: list[tuple[list[str], list[int], list[int]]], rounds: int = RO
     w.words = frozenset(sorted((t for t, k in near.items() if k > 2), key=lambda t: (-near[t], t))[:WORDS])
     length = 2 * WINDOW
     n = len(sample)
-    width = 6
+    width = 8
     feats = np.zeros((n, length, 4, width), dtype=np.int64)
     on = np.zeros((n, length, 4, width), dtype=np.float32)
     tags = np.zeros((n, length), dtype=np.int64)
@@ -252,8 +262,8 @@ class Tagger:
     def __init__(self, w: Weights):
         self.w = w
         finite = w.move[w.move > NEVER / 2]
-        # replacing one tag by O changes two transitions by at most this
-        self.reach = 2 * float(finite.max() - finite.min()) if w.trained else 0.0
+        # making one tag O, and an I after it B, changes three transitions
+        self.reach = 3 * float(finite.max() - finite.min()) if w.trained else 0.0
         self._reset()
 
     def _reset(self) -> None:
@@ -296,7 +306,7 @@ class Tagger:
         e[1:] += self.rows[ids[:-1], 1]
         e[:-1] += self.rows[ids[1:], 2]
         e += self.w.emit[3, file_features(text)].sum(axis=0)
-        maybe = np.flatnonzero(np.maximum(e[:, B], e[:, I]) - e[:, O] + self.reach >= 0)
+        maybe = np.flatnonzero(self._maybe(e))
         if not len(maybe):
             return []
         found = [i for stretch in np.split(maybe, np.flatnonzero(np.diff(maybe) > 1) + 1)
@@ -306,6 +316,13 @@ class Tagger:
         places = [m.span() for m in TOKEN.finditer(text)]
         return [(places[a][0], places[b][1]) for a, b in found]
 
+    def _maybe(self, e: np.ndarray) -> np.ndarray:
+        """Tokens that some best path may tag as secret: for any other, O there
+        (and B for an I after it) scores more."""
+        gain = np.maximum(e[:, B], e[:, I]) - e[:, O] + self.reach
+        gain[:-1] += np.maximum(0, e[1:, I] - e[1:, B])
+        return gain >= 0
+
     def _decode(self, e: np.ndarray, low: int, high: int) -> list[tuple[int, int]]:
         """(first, last) tokens of the secrets in [low, high), where the
         tokens on either side are outside (or the text ends)."""

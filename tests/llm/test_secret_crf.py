@@ -76,10 +76,10 @@ def test_decoding_is_viterbi(weights):
     rng = np.random.default_rng(3)
     for _ in range(200):
         n = int(rng.integers(1, 7))
-        e = rng.normal(0, 2, (n, 3)).astype(np.float32)
+        e = rng.normal(0, 4, (n, 3)).astype(np.float32)
         best, tags = max(((_score(tagger.w, e, t), t) for t in itertools.product(range(3), repeat=n)), key=lambda x: x[0])
         spans = []
-        maybe = np.flatnonzero(np.maximum(e[:, 1], e[:, 2]) - e[:, 0] + tagger.reach >= 0)
+        maybe = np.flatnonzero(tagger._maybe(e))
         for stretch in np.split(maybe, np.flatnonzero(np.diff(maybe) > 1) + 1):
             if len(stretch):
                 spans += tagger._decode(e, int(stretch[0]), int(stretch[-1]) + 1)
