@@ -90,7 +90,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The digests whose two representatives have the same normalised bytes."""
     ids = pairs.select("digest", F.explode(F.array("a", "b")).alias("id")).select("digest", "id.doc_id")
     texts = docs.select(F.col("doc_id").alias("_id"), normalized().alias("norm"), _digest().alias("_digest"))
-    met = ids.join(texts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")))
+    # a shuffle join at every size: the texts move once, in proportion to the input
+    met = ids.hint("merge").join(texts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")))
     same = F.min("norm") == F.max("norm")
     return met.groupBy("digest").agg(same.alias("same")).filter("same").select("digest")
 
