@@ -2,26 +2,23 @@
 
 from __future__ import annotations
 
-import weakref
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a join side is sent whole to every task.
-BROADCAST_MAX_ROWS = 2_000_000
+# Planned size, in bytes, up to which a join side is sent whole to every task.
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-_CHECKED: "weakref.WeakKeyDictionary[DataFrame, bool]" = weakref.WeakKeyDictionary()
+def planned_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate; no job runs.  A table read back from
+    files has its file size, a plan with joins an estimate from above."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when a count shows at most ``max_rows`` rows;
-    otherwise ``df`` unchanged, and the planner keeps a shuffle join.  The
-    count runs once per DataFrame object."""
-    small = _CHECKED.get(df)
-    if small is None:
-        small = _CHECKED[df] = df.count() <= max_rows
-    return F.broadcast(df) if small else df
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``F.broadcast(df)`` when its planned size is at most ``max_bytes``;
+    otherwise ``df`` unchanged, and the planner keeps a shuffle join."""
+    return F.broadcast(df) if planned_bytes(df) <= max_bytes else df
 
 
 def join_facts(small: DataFrame, facts: DataFrame, key: str, keep_unmatched: bool = False) -> DataFrame:

@@ -55,7 +55,8 @@ def current_prices(canon: DataFrame, sp: DataFrame, obs: DataFrame, hist_a: Data
          .join(hist_b.select("store_sku"), "store_sku", "left_semi"))
     cols = [CID, "canonical_name", "store_id", "store_sku", "store_product_id", "promo_price",
             "regular_price", "is_on_special"]
-    return a.select(*cols).unionByName(b.select(*cols)).distinct()
+    # rows may repeat: everything that reads them takes maxima or distinct keys
+    return a.select(*cols).unionByName(b.select(*cols))
 
 
 def discount(promo: Column, regular: Column) -> Column:
@@ -108,11 +109,9 @@ def price_comparison(canon: DataFrame, sp: DataFrame, obs: DataFrame, hist_a: Da
     joined = current_prices(canon, sp, obs, hist_a, hist_b)
     # one pass over ``joined``: maxima per (product, SKU); the product pivot
     # (max of maxima) and the product's SKUs for its names both read it
-    per_sku = pivot_prices(joined, (CID, "store_sku"))
-    piv = per_sku.groupBy(CID).agg(*[F.max(c).alias(c) for c in _PIVOT_COLS])
-    names = product_names(per_sku, hist_a)
-    cname = per_sku.select(CID).distinct().join(multi_store_products(canon, sp), CID)
-    return names.join(cname, CID).join(piv, CID).select(*COMPARISON_COLS)
+    per_sku = pivot_prices(joined, (CID, "canonical_name", "store_sku"))
+    piv = per_sku.groupBy(CID, "canonical_name").agg(*[F.max(c).alias(c) for c in _PIVOT_COLS])
+    return product_names(per_sku, hist_a).join(piv, CID).select(*COMPARISON_COLS)
 
 
 TREND_COLS = [CID, "canonical_name", "store_product_name", "brand_name", "category_name", "scrape_date",
@@ -223,22 +222,23 @@ def promo_share(trend: DataFrame, exclude_filler: bool = False) -> DataFrame:
     of special ones -- two plain aggregates, no distinct-aggregate expansion."""
     g = ["week_num", "scrape_date", "category_name"]
 
-    def side(p: str) -> DataFrame:
-        sku, flag = F.col(f"{p}_sku"), F.coalesce(F.col(f"{p}_is_on_special"), F.lit(False))
-        per = trend.groupBy(*g, f"{p}_sku").agg(F.max((sku != "0") & flag).alias("_sp"))
-        denom = F.count_if(F.col(f"{p}_sku") != "0") if exclude_filler else F.count(F.lit(1))
-        return per.groupBy(*g).agg(
-            (F.round(F.try_divide(F.count_if(F.col("_sp")), denom), 2) * 100).alias(f"{p}_promo_proportion"))
+    sides = F.array(*[F.struct(F.lit(p).alias("side"), F.col(f"{p}_sku").alias("sku"),
+                               F.coalesce(F.col(f"{p}_is_on_special"), F.lit(False)).alias("flag")) for p in "ab"])
+    per_sku = (trend.select(*g, F.explode(sides).alias("s")).groupBy(*g, "s.side", "s.sku")
+               .agg(F.max((F.col("s.sku") != "0") & F.col("s.flag")).alias("special")))
 
-    b, a = side("b").alias("b"), side("a").alias("a")
-    cond = [F.col(f"b.{c}").eqNullSafe(F.col(f"a.{c}")) for c in g]
-    return b.join(a, cond).select(*[F.col(f"b.{c}").alias(c) for c in g], "b_promo_proportion", "a_promo_proportion")
+    def share(p: str) -> Column:
+        mine = F.col("side") == p
+        counted = mine & (F.col("sku") != "0") if exclude_filler else mine
+        return (F.round(F.try_divide(F.count_if(mine & F.col("special")), F.count_if(counted)), 2) * 100
+                ).alias(f"{p}_promo_proportion")
+    return per_sku.groupBy(*g).agg(share("b"), share("a"))
 
 
-def avg_money(c: Column) -> Column:
-    """Mean of cent-valued prices, summed exactly as whole cents."""
-    cents = F.floor(c * 100 + 0.5).cast("long")
-    return F.sum(cents).cast("double") / F.count(c).cast("double") / F.lit(100.0)
+def exact_avg(c: Column) -> Column:
+    """Mean of prices, added as decimals so that the order of rows cannot
+    change its last digits."""
+    return F.sum(c.cast("decimal(28,10)")).cast("double") / F.count(c).cast("double")
 
 
 def basket(comparison: DataFrame, rules=BASKET_RULES) -> DataFrame:
@@ -252,11 +252,11 @@ def basket(comparison: DataFrame, rules=BASKET_RULES) -> DataFrame:
         "b_promo": discount(F.col("b_promo_price"), F.col("b_regular_price")),
         "a_promo": discount(F.col("a_promo_price"), F.col("a_regular_price"))})
     out = rows.groupBy("category").agg(
-        avg_money(F.col("b_regular_price")).alias("avg_b_regular_price"),
-        avg_money(F.col("b_promo_price")).alias("avg_b_promo_price"),
+        exact_avg(F.col("b_regular_price")).alias("avg_b_regular_price"),
+        exact_avg(F.col("b_promo_price")).alias("avg_b_promo_price"),
         F.round(F.avg("b_promo") * 100, 2).alias("avg_b_promo"),
-        avg_money(F.col("a_regular_price")).alias("avg_a_regular_price"),
-        avg_money(F.col("a_promo_price")).alias("avg_a_promo_price"),
+        exact_avg(F.col("a_regular_price")).alias("avg_a_regular_price"),
+        exact_avg(F.col("a_promo_price")).alias("avg_a_promo_price"),
         F.round(F.avg("a_promo") * 100, 2).alias("avg_a_promo"))
     return out.withColumn("cheaper_retailer", F.when(F.col("avg_b_regular_price") > F.col("avg_a_regular_price"),
                                                      F.lit("A")).otherwise(F.lit("B")))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
@@ -73,6 +73,12 @@ PRICE_RULES = [
     ("has_store_product_match", "store_product_id IS NOT NULL"),
 ]
 
+# Scrape days of the published trend: (week, week start, days).
+SCRAPE_WEEKS = (
+    (1, "2025-11-03", ("2025-11-04", "2025-11-10")),
+    (2, "2025-11-10", ("2025-11-07", "2025-11-12")),
+    (3, "2025-11-17", ("2025-11-17",)),
+)
 # Fuzzy match cut-off (0..100) and the id offset used when A has no ids.
 MATCH_SCORE_THRESHOLD = 80
 FALLBACK_ID_START = 27624
@@ -97,6 +103,20 @@ class BasketRule:
     brands: tuple[str, ...] | None
 
 
+# ---------------------------------------------------------------------------
+# The published basket rules (a brand with a leading blank is
+# meant as it stands).
+# ---------------------------------------------------------------------------
+PUBLISHED_BASKET_RULES = (
+    BasketRule(1, "Milk", "%milk%", "dairy_eggs_fridge", ("Pauls", "Vitasoy", "Devondale")),
+    BasketRule(2, "Egg", "%egg%", "dairy_eggs_fridge", ("Sunny Queen",)),
+    BasketRule(3, "Snacks", "%tim%tam%", "snacks_confectionary", ("Arnotts",)),
+    BasketRule(4, "Butter", "%butter%", "dairy_eggs_fridge", ("Devondale", "Lurpak")),
+    BasketRule(5, "Pasta", "%pasta%", "dairy_eggs_fridge", ("25 Degrees South",)),
+    BasketRule(6, "Ice cream", None, "freezer", ("Connoisseur", "Sara Lee", " Peters", "Reese's")),
+    BasketRule(7, "International food", None, "international_food", None),
+)
+
 # Basket rules for the driver data (FIXTURES.md §5).
 BASKET_RULES = (
     BasketRule(1, "Widgets", "%widget%", "dairy_eggs_fridge", ("Brand#1", "Brand#2", "Brand#3")),
@@ -133,17 +153,21 @@ def basket_filter(rules=BASKET_RULES, name="canonical_name", category="category_
     return out
 
 
-def calendar_from_dates(dates: DataFrame, date_col: str = "scrape_date",
-                        skip_day_of_month: int | None = 13) -> DataFrame:
+def calendar_from_dates(dates: DataFrame, date_col: str = "scrape_date") -> DataFrame:
     """(scrape_date DATE, week_num INT, week_start DATE) for each distinct day.
 
     ``week_start`` is the Monday of the day; ``week_num`` counts whole weeks
-    from WEEK_ORIGIN, plus one.  Days with ``skip_day_of_month`` are left
-    out so that the "no week -> dropped" rule is exercised."""
+    from WEEK_ORIGIN, plus one."""
     d = dates.select(F.col(date_col).cast("date").alias("scrape_date")).where(F.col("scrape_date").isNotNull()).distinct()
-    if skip_day_of_month is not None:
-        d = d.where(F.dayofmonth("scrape_date") != skip_day_of_month)
     return d.select(
         "scrape_date",
         (F.floor(F.datediff("scrape_date", F.lit(WEEK_ORIGIN).cast("date")) / 7) + 1).cast("int").alias("week_num"),
         F.date_trunc("week", "scrape_date").cast("date").alias("week_start"))
+
+
+def calendar_from_weeks(spark: SparkSession, weeks=SCRAPE_WEEKS) -> DataFrame:
+    """The same columns from a list of (week number, week start, scrape days);
+    a day in no week has no row, so its prices drop out of the trend."""
+    rows = [(day, num, start) for num, start, days in weeks for day in days]
+    return spark.createDataFrame(rows, "scrape_date string, week_num int, week_start string").select(
+        F.col("scrape_date").cast("date").alias("scrape_date"), "week_num", F.col("week_start").cast("date").alias("week_start"))

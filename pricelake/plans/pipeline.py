@@ -24,6 +24,18 @@ from pricelake.session import ensure_checkpoint_dir
 from pricelake.sources import feeds
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the complete tables (with a _SUCCESS file) in a folder."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    done = jvm.org.apache.hadoop.fs.Path
+    return [st.getPath().getName() for st in fs.listStatus(root)
+            if st.isDirectory() and fs.exists(done(st.getPath(), "_SUCCESS"))]
+
+
 def _table(fn):
     name = fn.__name__
 
@@ -48,9 +60,18 @@ class Tables:
                     "canonical_a", "match_b", "canonical", "store_product", "price_observation",
                     "gold_price_comparison", "gold_price_trend"}
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False, **options):
-        """``options``: ``grain`` (D3), ``lookup`` (D7), ``keep_unblocked``
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, materialize: bool = False,
+                 bronze: tuple[str, str] | None = None, keys: str | None = None, calendar: DataFrame | None = None,
+                 **options):
+        """``sf_dir``: derive the feeds from the driver tables, or ``bronze``:
+        the paths of given bronze tables of A and B.  ``keys``: folder with the
+        dimensions of earlier runs, whose ids stay (a run that is materialised
+        adds its own).  ``calendar``: scrape days to weeks (default: all days).
+        ``options``: ``grain`` (D3), ``lookup`` (D7), ``keep_unblocked``
         (D8), ``b_match`` (D12) -- defaults keep the reference's results."""
+        self.bronze = bronze
+        self.keys = keys.rstrip("/") if keys else None
+        self._calendar = calendar
         self.options = {"grain": "sku", "lookup": "name", "keep_unblocked": False, "b_match": "sku", **options}
         self.spark = spark
         self.sf_dir = sf_dir
@@ -67,14 +88,36 @@ class Tables:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def _known(self, name: str) -> DataFrame | None:
+        """The newest dimension of that name in the key folder."""
+        runs = list_folders(self.spark, f"{self.keys}/{name}") if self.keys else []
+        return self.spark.read.parquet(f"{self.keys}/{name}/{max(runs)}") if runs else None
+
+    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Store a dimension as the newest of its name: the next run's ids.
+        The folder counts only once its write is complete."""
+        if not self.keys:
+            return df
+        runs = list_folders(self.spark, f"{self.keys}/{name}")
+        path = f"{self.keys}/{name}/{int(max(runs, default='0')) + 1:08d}"
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def _excluded(self, df: DataFrame) -> DataFrame:
+        return feeds.exclude_sources(df, feeds.excluded_paths_from_conf(self.spark))
+
     # bronze ---------------------------------------------------------------
     @_table
     def bronze_a(self):
-        return feeds.bronze_a(feeds.derived_feed_a(self.spark, self.sf_dir))
+        if self.bronze:
+            return self._excluded(self.spark.read.parquet(self.bronze[0]))
+        return self._excluded(feeds.bronze_a(feeds.derived_feed_a(self.spark, self.sf_dir)))
 
     @_table
     def bronze_b(self):
-        return feeds.bronze_b(feeds.derived_feed_b(self.spark, self.sf_dir))
+        if self.bronze:
+            return self._excluded(self.spark.read.parquet(self.bronze[1]))
+        return self._excluded(feeds.bronze_b(feeds.derived_feed_b(self.spark, self.sf_dir)))
 
     # stage + history ------------------------------------------------------
     @_table
@@ -104,11 +147,11 @@ class Tables:
     # dimensions / canonical ----------------------------------------------
     @_table
     def dim_brand(self):
-        return silver.dim_brand(self.cur_a, self.cur_b)
+        return self._keep("dim_brand", silver.dim_brand(self.cur_a, self.cur_b, self._known("dim_brand")))
 
     @_table
     def dim_category(self):
-        return silver.dim_category(self.cur_a, self.cur_b)
+        return self._keep("dim_category", silver.dim_category(self.cur_a, self.cur_b, self._known("dim_category")))
 
     @_table
     def canonical_a(self):
@@ -140,8 +183,10 @@ class Tables:
     # gold -----------------------------------------------------------------
     @_table
     def calendar(self):
-        li = feeds.read_table(self.spark, self.sf_dir, "lineitem")
-        return calendar_from_dates(li.select(F.col("l_shipdate").alias("scrape_date")))
+        if self._calendar is not None:
+            return self._calendar
+        days = [b.select(F.col("scrape_timestamp").alias("scrape_date")) for b in (self.bronze_a, self.bronze_b)]
+        return calendar_from_dates(days[0].unionByName(days[1]))
 
     @_table
     def gold_price_comparison(self):
@@ -159,8 +204,9 @@ _CACHE: dict[tuple, Tables] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Shared lazy tables per (session, folder)."""
+    """Shared tables per (session, folder): each silver table is written once
+    and read by every query that needs it."""
     key = (id(spark), spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
-        _CACHE[key] = Tables(spark, sf_dir)
+        _CACHE[key] = Tables(spark, sf_dir, materialize=True)
     return _CACHE[key]

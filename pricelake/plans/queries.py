@@ -87,19 +87,24 @@ def _price_rows(t):
     return silver.prices_a(t.bronze_a).unionByName(silver.prices_b(t.bronze_b))
 
 
+def _bridged_price_rows(t):
+    """Price rows with their bridge id, NULL where the SKU has none."""
+    bridge = t.store_product.select("store_id", "store_sku", "store_product_id")
+    return _price_rows(t).join(bridge, ["store_id", "store_sku"], "left")
+
+
 def q_quality_gate(spark, d):
-    rules = [r for r in PRICE_RULES if r[0] != "has_store_product_match"]
-    return quality_gate(_price_rows(tables(spark, d)), rules).select("store_id", "store_sku", "raw_hash")
+    return quality_gate(_bridged_price_rows(tables(spark, d)), PRICE_RULES).select(
+        "store_id", "store_sku", "store_product_id", "raw_hash")
 
 
 def q_quality_report(spark, d):
     t = tables(spark, d)
     ungated_a = silver.stage_a(t.bronze_a, rules=[])
     ungated_b = silver.stage_b(t.bronze_b, rules=[])
-    price_rules = [r for r in PRICE_RULES if r[0] != "has_store_product_match"]
     parts = [quality_report(ungated_a, STAGE_A_RULES).withColumn("gate", F.lit("stage_a")),
              quality_report(ungated_b, STAGE_B_RULES).withColumn("gate", F.lit("stage_b")),
-             quality_report(_price_rows(t), price_rules).withColumn("gate", F.lit("price"))]
+             quality_report(_bridged_price_rows(t), PRICE_RULES).withColumn("gate", F.lit("price"))]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

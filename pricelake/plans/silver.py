@@ -17,13 +17,17 @@ from pricelake import STORE_A, STORE_B
 from pricelake.functions.text import normalize_name, parse_pack, signature
 from pricelake.operators.cdc import END, START, current, scd1, scd2
 from pricelake.operators.fuzzy import best_match
-from pricelake.operators.keys import dense_ids
+from pricelake.operators.joins import broadcast_if_small
+from pricelake.operators.keys import assign_keys, dense_ids
 from pricelake.operators.order import asc, desc, keep_one
 from pricelake.operators.quality import quality_gate
 from pricelake.plans.params import (CATEGORY_MAP_A, CATEGORY_MAP_B, FALLBACK_ID_START,
                                     MATCH_SCORE_THRESHOLD, PRICE_RULES, STAGE_A_RULES,
                                     STAGE_B_RULES, map_column)
 
+# ---------------------------------------------------------------------------
+# Column lists of the silver tables.
+# ---------------------------------------------------------------------------
 STAGE_A_COLS = ["store_id", "store_sku", "store_product_name", "description", "canonical_name",
                 "brand_name", "category_name", "unit_size", "unit_uom", "raw_hash", "ingestion_ts",
                 "scrape_timestamp"]
@@ -43,6 +47,7 @@ STORE_PRODUCT_COLS = ["store_product_id", "store_id", "store_sku", "canonical_pr
 PRICE_COLS = ["store_product_id", "canonical_product_id", "store_id", "scrape_timestamp",
               "regular_price", "promo_price", "promo_details", "unit_price", "unit_measure",
               "raw_hash", "in_stock", "is_on_special", "is_half_price", "batch_ts"]
+# ---------------------------------------------------------------------------
 KEYS = ["store_id", "store_sku"]
 # Latest version wins; ties by raw_hash ascending.
 LATEST_A = [desc("ingestion_ts"), desc("scrape_timestamp"), asc("raw_hash")]
@@ -105,22 +110,24 @@ def _names(cur: DataFrame, col: str, trim: bool) -> DataFrame:
     return cur.where(F.col(col).isNotNull()).select(c.alias(col), "ingestion_ts").where(F.col(col) != "")
 
 
-def dim_brand(cur_a: DataFrame, cur_b: DataFrame) -> DataFrame:
+def dim_brand(cur_a: DataFrame, cur_b: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """M3: one row per lower-cased brand; the latest spelling wins (ties by
     name); ids in brand_key order.  Per-side then cross-side de-dup gives
     the same survivor as one keep-one over both sides, so it is one
-    aggregate."""
+    aggregate.  Brands in ``known`` (an earlier dim_brand) keep their id."""
     names = _names(cur_a, "brand_name", True).unionByName(_names(cur_b, "brand_name", True))
     names = names.withColumn("brand_key", F.lower("brand_name"))
     one = keep_one(names, ["brand_key"], [desc("ingestion_ts"), asc("brand_name")])
-    return dense_ids(one, [asc("brand_key")], "brand_id").select("brand_id", "brand_name", "brand_key", "ingestion_ts")
+    ids = assign_keys(one, ["brand_key"], "brand_id", [asc("brand_key")], known)
+    return ids.select("brand_id", "brand_name", "brand_key", "ingestion_ts")
 
 
-def dim_category(cur_a: DataFrame, cur_b: DataFrame) -> DataFrame:
-    """M4: one row per category name, ids in name order."""
+def dim_category(cur_a: DataFrame, cur_b: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """M4: one row per category name, ids in name order (ids in ``known`` stay)."""
     names = _names(cur_a, "category_name", False).unionByName(_names(cur_b, "category_name", False))
     one = keep_one(names, ["category_name"], [desc("ingestion_ts")])
-    return dense_ids(one, [asc("category_name")], "category_id").select("category_id", "category_name", "ingestion_ts")
+    ids = assign_keys(one, ["category_name"], "category_id", [asc("category_name")], known)
+    return ids.select("category_id", "category_name", "ingestion_ts")
 
 
 def dim_lookup(df: DataFrame, brands: DataFrame, categories: DataFrame, lookup: str = "name") -> DataFrame:
@@ -130,10 +137,11 @@ def dim_lookup(df: DataFrame, brands: DataFrame, categories: DataFrame, lookup:
     variant spellings of one brand share its id."""
     if lookup == "key":
         keyed = df.withColumn("_bk", F.lower(F.trim(F.col("brand_name"))))
-        out = keyed.join(brands.select(F.col("brand_key").alias("_bk"), "brand_id"), "_bk", "left").drop("_bk")
+        names = broadcast_if_small(brands.select(F.col("brand_key").alias("_bk"), "brand_id"))
+        out = keyed.join(names, "_bk", "left").drop("_bk")
     else:
-        out = df.join(brands.select("brand_name", "brand_id"), "brand_name", "left")
-    return out.join(categories.select("category_name", "category_id"), "category_name", "left")
+        out = df.join(broadcast_if_small(brands.select("brand_name", "brand_id")), "brand_name", "left")
+    return out.join(broadcast_if_small(categories.select("category_name", "category_id")), "category_name", "left")
 
 
 def canonical_a(cur_a: DataFrame, brands: DataFrame, categories: DataFrame, grain: str = "sku",
@@ -152,7 +160,8 @@ def canonical_a(cur_a: DataFrame, brands: DataFrame, categories: DataFrame, grai
 
 def block_filter(b_rows: DataFrame, canon_a: DataFrame) -> DataFrame:
     """B rows whose (brand_id, category_id) block has A candidates."""
-    return b_rows.join(canon_a.select("brand_id", "category_id"), ["brand_id", "category_id"], "left_semi")
+    blocks = broadcast_if_small(canon_a.select("brand_id", "category_id").distinct())
+    return b_rows.join(blocks, ["brand_id", "category_id"], "left_semi")
 
 
 def match_b(hist_b: DataFrame, brands: DataFrame, categories: DataFrame, canon_a: DataFrame,
@@ -209,9 +218,10 @@ def canonical(canon_a: DataFrame, matches: DataFrame) -> DataFrame:
 def store_product(cur_a: DataFrame, canon: DataFrame, matches: DataFrame) -> DataFrame:
     """Bridge.  A SKUs join canonical rows by name (every canonical row
     of that name), B SKUs come from their match; ids in (store, sku, id)
-    order."""
-    a = (cur_a.select("store_id", "store_sku", "canonical_name")
-         .join(canon.select("canonical_product_id", "canonical_name"), "canonical_name", "left")
+    order.  Blank names say nothing about the product and are not bridged to
+    each other (the matcher skips them too); such SKUs keep a NULL id."""
+    named = canon.select("canonical_product_id", "canonical_name").where(F.trim("canonical_name") != "")
+    a = (cur_a.select("store_id", "store_sku", "canonical_name").join(named, "canonical_name", "left")
          .withColumn("match_score", F.lit(100.0))
          .withColumn("match_status", F.lit("bootstrap"))
          .select(*BRIDGE_COLS))

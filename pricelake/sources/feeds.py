@@ -33,11 +33,20 @@ FEED_B_DDL = ("Category STRING, Name STRING, DisplayName STRING, Brand STRING, S
               "CupPrice STRING, InStock BOOLEAN, IsOnSpecial BOOLEAN, IsHalfPrice BOOLEAN, Image STRING, "
               "Description STRING, URL STRING, scrape_timestamp TIMESTAMP, batch_ts TIMESTAMP, "
               "scrape_run_id INT")
-# Columns fingerprinted into raw_hash for the derived feeds (FIXTURES.md §4).
-HASH_COLS_A = ["id", "name", "brand", "description", "price_now", "price_was", "promotionType",
-               "specialType", "offerDescription", "unit_price", "unit_measure", "scrape_date", "offer"]
-HASH_COLS_B = ["Name", "Brand", "Stockcode", "Description", "Price", "WasPrice", "CupPrice",
-               "scrape_date", "URL"]
+# Columns fingerprinted into raw_hash, in order.
+HASH_COLS_A = ["cat", "id", "name", "brand", "description", "size", "availability", "availabilityType",
+               "categoryGroup", "category", "subCategory", "className", "price_now", "price_was", "comparable",
+               "offerDescription", "promotionType", "specialType", "unit_price", "unit_measure", "offer",
+               "scrape_timestamp", "batch_ts", "scrape_run_id"]
+HASH_COLS_B = ["Category", "Name", "DisplayName", "Brand", "Stockcode", "Barcode", "Price", "WasPrice",
+               "SavingsAmount", "Unit", "CupPrice", "InStock", "IsOnSpecial", "IsHalfPrice", "Image", "Description",
+               "URL", "scrape_timestamp", "batch_ts", "scrape_run_id"]
+# Product text of a part: its name, a token of letters shared by two parts,
+# and its size; every 20th pair of parts shares the whole text (FIXTURES.md).
+_TOKEN = ("translate(substr(md5(CAST(CAST(floor(l_partkey / 2) AS BIGINT) AS STRING)), 1, 12), "
+          "'0123456789abcdef', 'ghijkmnopqrstuvw')")
+_SIZE = ("concat(CAST(p_size AS STRING), CASE p_size % 4 WHEN 0 THEN 'G' WHEN 1 THEN '.5ml' "
+         "WHEN 2 THEN ' Pack' ELSE '' END)")
 # Derived feeds over the driver tables; {lineitem} and {part} are table refs.
 FEED_A_SQL = """
 SELECT
@@ -47,12 +56,12 @@ SELECT
   CASE WHEN l_orderkey % 997 = 0 THEN NULL ELSE CAST(l_partkey AS STRING) END AS id,
   CASE WHEN l_partkey % 83 = 0 THEN NULL ELSE p_name END AS name,
   CASE WHEN l_partkey % 101 = 0 THEN NULL
+       WHEN p_brand = 'Brand#5' THEN 'Brand#55'
        WHEN l_suppkey % 10 = 0 THEN upper(p_brand) ELSE p_brand END AS brand,
   CASE WHEN l_partkey % 89 = 0 THEN NULL
+       WHEN l_partkey % 40 < 2 THEN concat('Family ', {token})
        ELSE concat_ws(CASE WHEN l_partkey % 5 = 0 THEN '<BR/>' WHEN l_partkey % 7 = 0 THEN '®... ' ELSE ' ' END,
-         p_name,
-         concat(CAST(p_size AS STRING), CASE p_size % 4 WHEN 0 THEN 'G' WHEN 1 THEN '.5ml' WHEN 2 THEN ' Pack' ELSE '' END))
-       END AS description,
+         p_name, {token}, {size}) END AS description,
   CASE WHEN l_orderkey % 501 = 0 THEN -1.0 ELSE 1.0 END
     * (floor(l_extendedprice / l_quantity * (1 - l_discount) * 100 + 0.5) / 100) AS price_now,
   CASE WHEN l_orderkey % 211 = 0 THEN NULL WHEN l_discount > 0
@@ -66,8 +75,8 @@ SELECT
   l_shipdate + l_linenumber * INTERVAL 1 HOUR + INTERVAL 30 MINUTE AS ingestion_ts,
   CAST(l_orderkey AS STRING) AS offer
 FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
-WHERE l_suppkey % 2 = 0 AND p_brand <> 'Brand#5'
-"""
+WHERE l_suppkey % 2 = 0
+""".replace("{token}", _TOKEN).replace("{size}", _SIZE)
 FEED_B_SQL = """
 SELECT
   CASE p_type WHEN 'ECONOMY' THEN 'bargains' WHEN 'SMALL' THEN 'drinks'
@@ -77,8 +86,8 @@ SELECT
   CAST(l_partkey + 1000000 AS STRING) AS Stockcode,
   concat_ws(' ',
     CASE WHEN l_partkey % 7 = 0 THEN 'Limited Edition Gift Bundle Offer' WHEN l_partkey % 3 = 0 THEN 'New' END,
-    concat(CAST(p_size AS STRING), CASE p_size % 4 WHEN 0 THEN 'G' WHEN 1 THEN '.5ml' WHEN 2 THEN ' Pack' ELSE '' END),
-    upper(p_name)) AS Description,
+    CASE WHEN l_partkey % 40 < 2 THEN concat('FAMILY ', {token})
+         ELSE concat_ws(' ', {size}, upper(p_name), {token}) END) AS Description,
   floor(l_extendedprice / l_quantity * (1 - l_discount) * 100 + 0.5) / 100 AS Price,
   floor(l_extendedprice / l_quantity * 100 + 0.5) / 100 AS WasPrice,
   CASE WHEN l_partkey % 13 = 0 THEN 'n/a'
@@ -91,7 +100,7 @@ SELECT
   CAST(l_orderkey AS STRING) AS URL
 FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
 WHERE l_suppkey % 2 = 1
-"""
+""".replace("{token}", _TOKEN).replace("{size}", _SIZE)
 # ---------------------------------------------------------------------------
 
 
@@ -100,17 +109,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """An input stored as fewer splits than the session can run at once (a
-    single file with one row group) would run every row-level step after it
-    in those few tasks; spread such an input over the session's parallelism.
-    Inputs with at least that many splits -- any large table -- are left
-    alone, so at scale this adds no shuffle."""
-    try:
-        n = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()  # planning only, no job
-    except Exception:  # noqa: BLE001 -- no RDD view (e.g. a remote session): leave as is
-        return df
-    return df.repartition(n) if splits < n else df
+    """Spread an input over ``spark.pricelake.input.partitions`` tasks if that
+    setting is given.  Meant for small inputs stored as one split (local
+    runs); without it an input keeps its own splits and nothing is shuffled."""
+    n = df.sparkSession.conf.get("spark.pricelake.input.partitions", None)
+    return df.repartition(int(n)) if n else df
 
 
 def _full_schema(df: DataFrame, ddl: str) -> DataFrame:
@@ -139,10 +142,6 @@ def source_file_of(store: str, batch_col: str = "batch_ts"):
     return F.concat(F.lit(f"landing/{store}/"), F.col(batch_col).cast("date").cast("string"), F.lit(".csv"))
 
 
-def with_scrape_date(df: DataFrame):
-    return df.withColumn("scrape_date", F.col("scrape_timestamp").cast("date").cast("string"))
-
-
 def _present(df: DataFrame, cols: list[str]) -> list[str]:
     """Hash columns the rows carry; an absent column (older file layout)
     hashes like NULL, i.e. it is skipped."""
@@ -154,8 +153,7 @@ def bronze_a(raw: DataFrame, hash_cols: list[str] = HASH_COLS_A) -> DataFrame:
     out = raw
     if "source_file" not in out.columns:
         out = out.withColumn("source_file", source_file_of("a"))
-    out = with_scrape_date(out)
-    return out.withColumn("raw_hash", row_hash(_present(out, hash_cols))).drop("scrape_date")
+    return out.withColumn("raw_hash", row_hash(_present(out, hash_cols)))
 
 
 def bronze_b(raw: DataFrame, hash_cols: list[str] = HASH_COLS_B) -> DataFrame:
@@ -163,8 +161,7 @@ def bronze_b(raw: DataFrame, hash_cols: list[str] = HASH_COLS_B) -> DataFrame:
     out = raw
     if "source_file" not in out.columns:
         out = out.withColumn("source_file", source_file_of("b"))
-    out = with_scrape_date(out)
-    out = out.withColumn("raw_hash", row_hash(_present(out, hash_cols))).drop("scrape_date")
+    out = out.withColumn("raw_hash", row_hash(_present(out, hash_cols)))
     price, size, uom = parse_unit_price("CupPrice")
     return out.withColumns({"unit_price": price, "unit_size": size, "unit_uom": uom})
 
@@ -172,10 +169,12 @@ def bronze_b(raw: DataFrame, hash_cols: list[str] = HASH_COLS_B) -> DataFrame:
 def exclude_sources(df: DataFrame, paths: list[str]) -> DataFrame:
     """Drop rows whose ``source_file`` is listed.  Blank entries are
     ignored; an empty list is no filter."""
-    keep = [p.strip() for p in paths if p and p.strip()]
-    if not keep:
+    listed = [p.strip() for p in paths if p and p.strip()]
+    if not listed:
         return df
-    return df.where(~F.col("source_file").isin(keep))
+    # local paths are listed as file:///x or file:/x; file metadata says file:/x
+    listed += [p.replace("file:///", "file:/", 1) for p in listed if p.startswith("file:///")]
+    return df.where(~F.col("source_file").isin(listed))
 
 
 def excluded_paths_from_conf(spark: SparkSession | None, key: str = "pipeline.excluded_paths") -> list[str]:

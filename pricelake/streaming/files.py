@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricelake.session import ensure_checkpoint_dir
+from pricelake.sources import feeds
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -42,16 +43,40 @@ def ntz_schema(ddl: str) -> T.StructType:
                                        else f.dataType, True) for f in schema.fields])
 
 
-def read_csv_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int = 1) -> DataFrame:
-    """New CSV files only, header row, typed schema."""
-    return (spark.readStream.schema(schema).option("header", True)
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
-            .option("maxFilesPerTrigger", max_files).csv(path))
+def read_csv_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """New CSV files only, nested folders too, header row, typed
+    schema.  A file whose header does not name the schema's columns in their
+    order fails the query instead of shifting values."""
+    reader = (spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
+              .option("recursiveFileLookup", True)
+              .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]"))
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).csv(path)
 
 
-def read_parquet_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int = 1) -> DataFrame:
+def read_feed_a(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                max_files: int | None = None) -> DataFrame:
+    """Feed A as a bronze stream from a landing folder: load columns,
+    fingerprint, files of the session's exclusion list left out."""
+    stream = with_ingest_metadata(read_csv_stream(spark, path, schema or ntz_schema(feeds.FEED_A_DDL), max_files))
+    return feeds.exclude_sources(feeds.bronze_a(stream), feeds.excluded_paths_from_conf(spark))
+
+
+def read_feed_b(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                max_files: int | None = None) -> DataFrame:
+    """The same for feed B, with its parsed unit price."""
+    stream = with_ingest_metadata(read_csv_stream(spark, path, schema or ntz_schema(feeds.FEED_B_DDL), max_files))
+    return feeds.exclude_sources(feeds.bronze_b(stream), feeds.excluded_paths_from_conf(spark))
+
+
+def write_bronze(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Append everything landed so far to a bronze Parquet table."""
+    run_available(stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint), path)
+
+
+def read_parquet_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
     """A bronze table read as a stream."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+    reader = spark.readStream.schema(schema)
+    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).parquet(path)
 
 
 def with_ingest_metadata(df: DataFrame) -> DataFrame:
@@ -61,13 +86,15 @@ def with_ingest_metadata(df: DataFrame) -> DataFrame:
 
 
 def csv_headers(spark: SparkSession, path: str) -> list[list[str]]:
-    """Header line of every CSV file in ``path`` (read like the file source
-    lists files: through the Hadoop file system, first line only)."""
+    """Header line of every CSV file below ``path`` (through the Hadoop file
+    system, first line only)."""
     jvm = spark._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     out = []
-    for st in fs.listStatus(root):
+    files = fs.listFiles(root, True)
+    while files.hasNext():
+        st = files.next()
         name = st.getPath().getName()
         if not st.isFile() or name.startswith((".", "_")) or not name.endswith(".csv"):
             continue
@@ -84,8 +111,8 @@ def csv_headers(spark: SparkSession, path: str) -> list[list[str]]:
 def evolve_schema(spark: SparkSession, known: T.StructType, path: str) -> T.StructType:
     """Columns named in the landed files' headers but missing from
     ``known`` are appended as STRING, in header order; old rows read them
-    as NULL (CSV maps columns by position, so producers append new columns
-    at the end)."""
+    as NULL.  Columns are read by position, so a producer must append new
+    ones at the end: any other layout fails in ``read_csv_stream``."""
     have = {f.name.lower() for f in known.fields}
     extra: list[str] = []
     for header in csv_headers(spark, path):
@@ -95,9 +122,11 @@ def evolve_schema(spark: SparkSession, known: T.StructType, path: str) -> T.Stru
     return T.StructType(list(known.fields) + [T.StructField(n, T.StringType(), True) for n in extra])
 
 
-def run_available(writer, path: str | None = None) -> None:
-    """Run a stream over everything landed so far, then stop."""
+def run_available(writer, path: str | None = None) -> int:
+    """Run a stream over everything landed so far, then stop.  Returns the
+    number of rows that came too late for a watermark and were dropped."""
     q = writer.trigger(availableNow=True).start(path) if path else writer.trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    return sum(op["numRowsDroppedByWatermark"] for p in q.recentProgress for op in p["stateOperators"])

@@ -32,7 +32,8 @@ def collision_dir():
     rows = []
     days = [dt.datetime(1996, 3, 4), dt.datetime(1996, 3, 11), dt.datetime(1996, 3, 13), dt.datetime(1996, 3, 18)]
     order = 10
-    for pk, supp in [(1000001, 2), (1000002, 4), (1, 1), (2, 3), (3, 5), (1000001, 12)]:
+    for pk, supp in [(1000001, 2), (1000002, 4), (1, 1), (2, 3), (3, 5), (1000001, 12),
+                     (1000001, 3), (1000002, 5)]:
         for i, day in enumerate(days):
             order += 1
             disc = [0.0, 0.05, 0.1, 0.09][i]
