@@ -18,10 +18,14 @@ Token-group matrix.
    has a row for each such shingle with the groups that hold it; a class and
    a group of another component that share one are a candidate, if sizes and
    the places of the shingle still allow the overlap.
-3. *Bound and open.*  For a candidate the overlap of the query set with the
-   group's token union bounds the overlap with every member; only groups
-   that reach the query's needed overlap are opened, and their members
-   compared until one links (more links inside a component change nothing).
+3. *Bound and open.*  A class carries a bit set of its shingles' buckets, four
+   buckets a shingle; a bucket that only one of two sets has is a shingle that
+   they do not share, which bounds their overlap from above.  Candidate groups
+   without a member that can reach the overlap are dropped before any set is
+   read again.  For the rest the overlap of the query set with the group's
+   token union is a second bound; only groups that reach the query's needed
+   overlap are opened, and their members compared until one links (more links
+   inside a component change nothing).
 
 Every link between different components is found, so the components are
 exact.  No group is cut: shingles shared by very many documents come last in
@@ -52,7 +56,7 @@ WORDS = 5
 NUM, DEN = 75, 100  # similarity as a fraction
 SIGNATURES = 6
 GROUP = 128
-SLOT_BITS = 18
+SLOT_BITS = 20
 SLOT_BLOCK = 4096
 ENTRIES_PER_PARTITION = 2_000_000
 FILTER_BITS = 23
@@ -106,8 +110,32 @@ def _overlap(small: np.ndarray, large: np.ndarray) -> int:
     return int((large[at] == small).sum())
 
 
+def bucket_bits(s: np.ndarray) -> bytes:
+    """Bit set of the buckets of a set's shingles, at least 4 buckets each.
+    A set of twice the buckets folds to the smaller size by or-ing halves."""
+    m = 64
+    while m < 4 * len(s):
+        m *= 2
+    flags = np.zeros(m, dtype=np.uint8)
+    flags[(s & np.uint64(m - 1)).astype(np.int64)] = 1
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def may_link(n_a: int, bits_a: bytes, n_b: int, bits_b: bytes) -> bool:
+    """Whether the bit sets leave room for the wanted similarity."""
+    if DEN * min(n_a, n_b) < NUM * max(n_a, n_b):
+        return False
+    a, b = np.frombuffer(bits_a, dtype=np.uint64), np.frombuffer(bits_b, dtype=np.uint64)
+    while len(a) > len(b):
+        a = a[:len(a) // 2] | a[len(a) // 2:]
+    while len(b) > len(a):
+        b = b[:len(b) // 2] | b[len(b) // 2:]
+    both = min(n_a - int(np.bitwise_count(a & ~b).sum()), n_b - int(np.bitwise_count(b & ~a).sum()))
+    return (NUM + DEN) * both >= NUM * (n_a + n_b)
+
+
 def _read(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One pass: (doc_id, th, cid, n, sigs) for each document, and the counts
+    """One pass: (doc_id, th, cid, n, sigs, bits) for each document, and the counts
     of all documents' shingles by slot (block, counts)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(1 << SLOT_BITS, dtype=np.uint32)
@@ -116,19 +144,19 @@ def _read(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             for text in pdf["text"].tolist():
                 s = shingles(text)
                 seen.append(s)
-                rows.append((class_id(s), len(s), _signatures(s)) if len(s) else (0, 0, None))
+                rows.append((class_id(s), len(s), _signatures(s), bucket_bits(s)) if len(s) else (0, 0, None, None))
             if seen:
                 slots = (np.concatenate(seen) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
                 counts += np.bincount(slots, minlength=1 << SLOT_BITS).astype(np.uint32)
             # no nulls in cid: pandas would make it a float
-            yield pd.DataFrame(rows, columns=["cid", "n", "sigs"]).assign(
+            yield pd.DataFrame(rows, columns=["cid", "n", "sigs", "bits"]).assign(
                 doc_id=pdf["doc_id"].to_numpy(), th=pdf["th"].to_numpy(), block=-1, counts=None)
         blocks = counts.reshape(-1, SLOT_BLOCK)
-        yield pd.DataFrame([{"cid": 0, "n": 0, "sigs": None, "doc_id": None, "th": 0, "block": i,
+        yield pd.DataFrame([{"cid": 0, "n": 0, "sigs": None, "bits": None, "doc_id": None, "th": 0, "block": i,
                              "counts": b.tobytes()} for i, b in enumerate(blocks) if b.any()],
-                           columns=["cid", "n", "sigs", "doc_id", "th", "block", "counts"])
+                           columns=["cid", "n", "sigs", "bits", "doc_id", "th", "block", "counts"])
     both = materialize(map_in_pandas(docs.select("doc_id", "text", F.xxhash64("text").alias("th")), run,
-                                     "cid long, n long, sigs array<long>, doc_id long, th long, block int, counts binary"))
+                                     "cid long, n long, sigs array<long>, bits binary, doc_id long, th long, block int, counts binary"))
     rows = both.filter("block < 0").withColumn("cid", F.when(F.col("n") > 0, F.col("cid")))
     return rows.drop("block", "counts"), both.filter("block >= 0").select("block", "counts")
 
@@ -185,6 +213,18 @@ def _leader_pairs(classes: DataFrame) -> DataFrame:
             .select(F.col("cid").alias("a"), "b").distinct())
 
 
+def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose bit sets leave room for a link."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ok = [may_link(*x) for x in zip(pdf["n_a"], pdf["bits_a"], pdf["n_b"], pdf["bits_b"])]
+            yield pdf.loc[ok, ["a", "b"]]
+    both = pairs
+    for c in ("a", "b"):
+        both = both.join(classes.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")), c)
+    return both.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInPandas(run, "a long, b long")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are similar."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -307,6 +347,15 @@ def _ramp(sizes: np.ndarray) -> np.ndarray:
     return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
+def _bound(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+    """The queries (q, gid) of a group with a member that they may link with."""
+    if queries.empty or members.empty:
+        return pd.DataFrame({"q": [], "gid": []})
+    own = list(zip(members["n"], members["bits"]))
+    ok = [any(may_link(n, bits, *m) for m in own) for n, bits in zip(queries["n_q"], queries["bits_q"])]
+    return queries.loc[ok, ["q", "gid"]]
+
+
 def _open(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
     """Links (a, b) of queries with a group: bound by the token union, then
     the members by size until one links."""
@@ -332,9 +381,9 @@ def jaccard_links(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows, slots = _read(docs)
     classes = materialize(rows.filter("n > 0").groupBy("cid").agg(
-        F.min("th").alias("th"), F.max("n").alias("n"), F.max("sigs").alias("sigs")))
+        F.min("th").alias("th"), F.max("n").alias("n"), F.first("sigs").alias("sigs"), F.first("bits").alias("bits")))
     # groups
-    pairs = materialize(_leader_pairs(classes))
+    pairs = materialize(_possible(_leader_pairs(classes), classes))
     ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
     sets = materialize(sets_of(docs, classes.join(ends, "cid", "left_semi").select("cid", "th")))
     edges = materialize(_linked(pairs, sets))
@@ -346,6 +395,12 @@ def jaccard_links(docs: DataFrame) -> DataFrame:
     candidates = materialize(_matrix_rows(prefixes.select("cid", "comp", "gid", "n", "tokens"), parts)
                              .groupBy("part").applyInPandas(_candidates, "q long, gid long").distinct())
     # bound and open
+    sketches = classes.join(grouped.select("cid", "gid"), "cid").select("cid", "gid", "n", "bits")
+    asking = (candidates.join(classes.select(F.col("cid").alias("q"), F.col("n").alias("n_q"), F.col("bits").alias("bits_q")), "q")
+              .select("gid", "q", "n_q", "bits_q"))
+    asked_of = sketches.join(candidates.select("gid").distinct(), "gid", "left_semi").select("gid", "cid", "n", "bits")
+    candidates = materialize(asking.groupBy("gid").cogroup(asked_of.groupBy("gid"))
+                             .applyInPandas(_bound, "q long, gid long"))
     opened = grouped.join(candidates.select("gid").distinct(), "gid", "left_semi").select("cid", "th", "gid")
     asked = grouped.join(candidates.select(F.col("q").alias("cid")).distinct(), "cid", "left_semi").select("cid", "th")
     sets = materialize(sets_of(docs, opened.select("cid", "th").union(asked).distinct()))
