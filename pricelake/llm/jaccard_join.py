@@ -204,12 +204,16 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- groups
 def _leader_pairs(classes: DataFrame) -> DataFrame:
     """(a, b): a class and the leader of a min-hash group it is in, where the
-    sizes allow a link."""
+    sizes allow a link.  The leader is the member with the largest groups: the
+    middle of a family shares its min-hashes with most of it."""
     keys = classes.select("cid", "n", F.posexplode("sigs").alias("k", "sig"))
-    leaders = (keys.groupBy("k", "sig").agg(F.min(F.struct("cid", "n")).alias("lead"), F.count(F.lit(1)).alias("m"))
-               .filter("m > 1").select("k", "sig", F.col("lead.cid").alias("b"), F.col("lead.n").alias("n_b")))
+    sizes = keys.groupBy("k", "sig").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    shared = materialize(keys.join(sizes, ["k", "sig"]))
+    known = shared.groupBy("cid").agg(F.sum("m").alias("weight"))
+    leaders = (shared.join(known, "cid").groupBy("k", "sig").agg(F.max(F.struct("weight", "cid", "n")).alias("lead"))
+               .select("k", "sig", F.col("lead.cid").alias("b"), F.col("lead.n").alias("n_b")))
     fits = F.least("n", "n_b") * DEN >= F.greatest("n", "n_b") * NUM
-    return (keys.join(leaders, ["k", "sig"]).filter((F.col("cid") != F.col("b")) & fits)
+    return (shared.join(leaders, ["k", "sig"]).filter((F.col("cid") != F.col("b")) & fits)
             .select(F.col("cid").alias("a"), "b").distinct())
 
 
@@ -310,8 +314,9 @@ def _unpacked(blob: bytes) -> np.ndarray:
 
 
 def _candidates(pdf: pd.DataFrame) -> pd.DataFrame:
-    """(q, gid): classes and groups of other components that share a shingle,
-    where sizes and places allow the overlap.  The larger set is the query."""
+    """(q, comp, gid, m): classes and other components that share a shingle,
+    where sizes and places allow the overlap, with the component's group that
+    shares most here.  The larger set is the query."""
     e = np.concatenate([_unpacked(b) for b in pdf["entries"]])
     _, first = np.unique(np.stack([e["token"], e["cid"].view(np.uint64)]), axis=1, return_index=True)
     e = e[first]  # by token; a class once
@@ -332,14 +337,22 @@ def _candidates(pdf: pd.DataFrame) -> pd.DataFrame:
                   & (DEN * np.minimum(a["n"], b["n"]).astype(np.int64) >= NUM * np.maximum(a["n"], b["n"]).astype(np.int64)))
             a, b = a[ok], b[ok]
             swap = (a["n"] < b["n"]) | ((a["n"] == b["n"]) & (a["cid"] < b["cid"]))
-            pairs = np.stack([np.where(swap, b["cid"], a["cid"]), np.where(swap, a["gid"], b["gid"])], axis=1)
-            found.append(pairs)
-            held += len(pairs)
+            found.append(np.stack([np.where(swap, b["cid"], a["cid"]), np.where(swap, a["comp"], b["comp"]),
+                                   np.where(swap, a["gid"], b["gid"]), np.ones(len(a), dtype=np.int64)], axis=1))
+            held += len(a)
         if held > PAIR_BATCH:
-            found = [np.unique(np.concatenate(found), axis=0)]
+            found = [_counted(np.concatenate(found))]
             held = 0
-    pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), dtype=np.int64)
-    return pd.DataFrame({"q": pairs[:, 0], "gid": pairs[:, 1]})
+    rows = _counted(np.concatenate(found)) if found else np.zeros((0, 4), dtype=np.int64)
+    rows = rows[np.lexsort((-rows[:, 3], rows[:, 1], rows[:, 0]))]
+    first = np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)] if len(rows) else np.zeros(0, dtype=bool)
+    return pd.DataFrame(rows[first], columns=["q", "comp", "gid", "m"])
+
+
+def _counted(rows: np.ndarray) -> np.ndarray:
+    """Rows (q, comp, gid, m) with the m of equal (q, comp, gid) added."""
+    keys, inverse = np.unique(rows[:, :3], axis=0, return_inverse=True)
+    return np.column_stack([keys, np.bincount(inverse.ravel(), rows[:, 3]).astype(np.int64)])
 
 
 def _ramp(sizes: np.ndarray) -> np.ndarray:
@@ -348,30 +361,44 @@ def _ramp(sizes: np.ndarray) -> np.ndarray:
 
 
 def _bound(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-    """The queries (q, gid) of a group with a member that they may link with."""
+    """The queries (q, comp, gid) of a group with a member that they may link with."""
     if queries.empty or members.empty:
-        return pd.DataFrame({"q": [], "gid": []})
+        return pd.DataFrame({"q": [], "comp": [], "gid": []})
     own = list(zip(members["n"], members["bits"]))
     ok = [any(may_link(n, bits, *m) for m in own) for n, bits in zip(queries["n_q"], queries["bits_q"])]
-    return queries.loc[ok, ["q", "gid"]]
+    return queries.loc[ok, ["q", "comp", "gid"]]
 
 
 def _open(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-    """Links (a, b) of queries with a group: bound by the token union, then
-    the members by size until one links."""
+    """The queries (q, comp) that link with a member of a group: bound by the
+    token union, then the members until one links."""
     if queries.empty or members.empty:
-        return pd.DataFrame({"a": [], "b": []})
-    own = [(int(c), np.frombuffer(s, dtype=np.uint64)) for c, s in zip(members["cid"], members["held"])]
-    union = np.unique(np.concatenate([s for _, s in own]))
-    out = []
-    for q, blob in zip(queries["q"], queries["asked"]):
+        return pd.DataFrame({"q": [], "comp": []})
+    own = [np.frombuffer(s, dtype=np.uint64) for s in members["held"]]
+    union = np.unique(np.concatenate(own))
+    ok = []
+    for blob in queries["asked"]:
         s = np.frombuffer(blob, dtype=np.uint64)
-        if DEN * _overlap(s, union) < NUM * len(s):
-            continue
-        hit = next((c for c, x in own if c != q and similar(s, x)), None)
-        if hit is not None:
-            out.append((int(q), hit))
-    return pd.DataFrame(out, columns=["a", "b"])
+        ok.append(DEN * _overlap(s, union) >= NUM * len(s) and any(similar(s, x) for x in own))
+    return queries.loc[ok, ["q", "comp"]]
+
+
+def _links(docs: DataFrame, pairs: DataFrame, classes: DataFrame, grouped: DataFrame) -> DataFrame:
+    """Of the candidates (q, comp, gid) the (q, comp) with a link into the group."""
+    members = classes.join(grouped.select("cid", "gid"), "cid")
+    held = members.join(pairs.select("gid").distinct(), "gid", "left_semi").select("gid", "cid", "n", "bits")
+    asking = (pairs.join(classes.select(F.col("cid").alias("q"), F.col("n").alias("n_q"), F.col("bits").alias("bits_q")), "q")
+              .select("gid", "q", "comp", "n_q", "bits_q"))
+    left = materialize(asking.groupBy("gid").cogroup(held.groupBy("gid")).applyInPandas(_bound, "q long, comp long, gid long"))
+    opened = grouped.join(left.select("gid").distinct(), "gid", "left_semi").select("cid", "th", "gid")
+    asked = grouped.join(left.select(F.col("q").alias("cid")).distinct(), "cid", "left_semi").select("cid", "th")
+    sets = materialize(sets_of(docs, opened.select("cid", "th").union(asked).distinct()))
+    queries = (left.join(sets.select(F.col("cid").alias("q"), F.col("shingles").alias("asked")), "q")
+               .select("gid", "q", "comp", "asked"))
+    members = (opened.select("cid", "gid").join(sets.select("cid", F.col("shingles").alias("held")), "cid")
+               .select("gid", "cid", "held"))
+    return materialize(queries.groupBy("gid").cogroup(members.groupBy("gid"))
+                       .applyInPandas(_open, "q long, comp long").distinct())
 
 
 def jaccard_links(docs: DataFrame) -> DataFrame:
@@ -392,24 +419,21 @@ def jaccard_links(docs: DataFrame) -> DataFrame:
     entries = classes.agg(F.sum(F.col("n") - F.ceil(F.col("n") * F.lit(NUM / DEN)) + 1)).first()[0] or 0
     parts = max(shuffle_partitions(spark), entries // ENTRIES_PER_PARTITION)
     prefixes = _prefixes(docs, _slot_counts(slots)).join(grouped.select("cid", "comp", "gid"), "cid")
-    candidates = materialize(_matrix_rows(prefixes.select("cid", "comp", "gid", "n", "tokens"), parts)
-                             .groupBy("part").applyInPandas(_candidates, "q long, gid long").distinct())
-    # bound and open
-    sketches = classes.join(grouped.select("cid", "gid"), "cid").select("cid", "gid", "n", "bits")
-    asking = (candidates.join(classes.select(F.col("cid").alias("q"), F.col("n").alias("n_q"), F.col("bits").alias("bits_q")), "q")
-              .select("gid", "q", "n_q", "bits_q"))
-    asked_of = sketches.join(candidates.select("gid").distinct(), "gid", "left_semi").select("gid", "cid", "n", "bits")
-    candidates = materialize(asking.groupBy("gid").cogroup(asked_of.groupBy("gid"))
-                             .applyInPandas(_bound, "q long, gid long"))
-    opened = grouped.join(candidates.select("gid").distinct(), "gid", "left_semi").select("cid", "th", "gid")
-    asked = grouped.join(candidates.select(F.col("q").alias("cid")).distinct(), "cid", "left_semi").select("cid", "th")
-    sets = materialize(sets_of(docs, opened.select("cid", "th").union(asked).distinct()))
-    queries = (candidates.join(sets.select(F.col("cid").alias("q"), F.col("shingles").alias("asked")), "q")
-               .select("gid", "q", "asked"))
-    members = (opened.select("cid", "gid").join(sets.select("cid", F.col("shingles").alias("held")), "cid")
-               .select("gid", "cid", "held"))
-    more = (queries.groupBy("gid").cogroup(members.groupBy("gid")).applyInPandas(_open, "a long, b long"))
-    roots = components(edges.union(more))
+    found = _matrix_rows(prefixes.select("cid", "comp", "gid", "n", "tokens"), parts).groupBy("part").applyInPandas(
+        _candidates, "q long, comp long, gid long, m long")
+    candidates = materialize(found.groupBy("q", "comp").agg(F.max_by("gid", "m").alias("gid")))
+    # bound and open: the group that shares most, then, where it has no link, the component's other groups
+    links = _links(docs, candidates, classes, grouped)
+    groups = grouped.select("comp", F.col("gid").alias("other")).distinct()
+    rest = materialize(candidates.join(links, ["q", "comp"], "left_anti").join(groups, "comp")
+                       .filter("other <> gid").select("q", "comp", F.col("other").alias("gid")))
+    if rest.limit(1).count():
+        links = links.union(_links(docs, rest, classes, grouped))
+    # the links join first components, few enough to contract before the last step
+    own = grouped.select(F.col("cid").alias("q"), F.col("comp").alias("a"))
+    roots = components(links.join(own, "q").select("a", F.col("comp").alias("b")))
+    roots = (grouped.join(roots.withColumnRenamed("v", "comp"), "comp", "left")
+             .select(F.col("cid").alias("v"), F.coalesce("root", "comp").alias("root")))
     # documents
     return materialize(rows.join(roots.withColumnRenamed("v", "cid"), "cid", "left")
                        .select("doc_id", "th", F.col("n").alias("n_shingles"), F.col("cid").alias("class_id"),
