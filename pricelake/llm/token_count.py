@@ -46,8 +46,9 @@ from pricelake.llm.common import map_in_pandas
 LIMIT = 512
 CHUNK = 256
 WARM_UP = 24
-MAX_STATES = 100_000
-MAX_PIECES = 500_000
+MAX_STATES = 60_000
+MAX_PIECES = 400_000
+MAX_PAIRS = 400_000
 FEW = 8
 BATCH_CHARS = 4_000_000
 
@@ -200,7 +201,7 @@ class Counter:
             return True
         got = self.pairs.get((a, b))
         if got is None:
-            if len(self.pairs) > 1_000_000:
+            if len(self.pairs) > MAX_PAIRS:
                 self.pairs.clear()
             made = self.model.tokenize(self.names[a] + self.names[b])
             got = self.pairs[a, b] = len(made) == 2 and made[0].id == a
@@ -216,7 +217,7 @@ class Counter:
             return False
         got = self.alive.get((node, last))
         if got is None:
-            if len(self.alive) > 1_000_000:
+            if len(self.alive) > MAX_PAIRS:
                 self.alive.clear()
             got = self.alive[node, last] = any(self._pair(last, t) for t in few)
         return got
