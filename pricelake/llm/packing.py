@@ -50,8 +50,8 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_
         ids_of = chunk_ids(path)
         for pdf in batches:
             rows = []
-            for at, text in enumerate(pdf["text"].tolist()):
-                ids = ids_of.text(text) + end
+            for at, ids in enumerate(ids_of.texts(pdf["text"].tolist())):
+                ids += end
                 for piece, start in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[start:start + 4 * capacity]
                     rows.append((at, piece, start // 4, len(own) // 4, zlib.crc32(own)))

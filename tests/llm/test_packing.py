@@ -64,3 +64,20 @@ def test_plan_size_does_not_follow_the_counts():
 def test_empty_table(spark):
     assert packing.pack(frame(spark, []), PATH).count() == 0
     assert spark.createDataFrame([], DOCS).count() == 0
+
+
+def test_chunk_ids_of_random_texts(monkeypatch):
+    import random
+
+    from pricelake.llm import tokens
+    monkeypatch.setattr(tokens, "MAX_CHUNKS", 300)  # forgets often
+    rng = random.Random(6)
+    parts = ["'s", "'re", "'", "''", "don't", "we", "WE", "12", "½", "²", "ª", "ÀÉ", "é", "é", "ß", "日本", "😀", ".", ",", "!?",
+             "...", "<|endoftext|>", "<|", "|>", "<", "-", "_", "\x1c", "\x85", "\xa0", "\xad", " ", "İ", "Σ", "​", "a1b2"]
+    gaps = ["", "", " ", "  ", "\n", "\t", "\r\n", "\xa0"]
+    texts = ["".join(rng.choice(parts) + rng.choice(gaps) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    lib = Tokenizer.from_file(PATH)
+    ids = tokens.ChunkIds(PATH)
+    for text, got in zip(texts, ids.texts(texts, 50), strict=True):
+        want = np.array(lib.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        assert got == want, text
