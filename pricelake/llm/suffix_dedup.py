@@ -432,7 +432,8 @@ def spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rows with the same rid must have the same text."""
     spark = docs.sparkSession
     found = materialize(_anchor_rows(docs.filter(F.octet_length("text") >= length), length))
-    often = found.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    # written first, so that the join below reads two plain shuffles and Spark can split a hot gram
+    often = materialize(found.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).filter("m > 1"))
     repeated = (found.join(often, "gram")
                 .select("rid", "place", "first", "last", "lead", (F.col("m") > HOT).alias("hot")))
     repeated = materialize(repeated)
