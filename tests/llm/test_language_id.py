@@ -1,3 +1,4 @@
+import random
 import zlib
 
 from pricelake.llm import language_id
@@ -35,3 +36,16 @@ def test_odd_rows(spark):
     assert language_id.predictions(frame(spark, [])).count() == 0
     no_labels = language_id.predictions(frame(spark, [(1, "some text", None, None, 0)])).collect()
     assert [r["lang_pred"] for r in no_labels] == ["und"]
+
+
+def test_long_clean_texts_keep_their_margin(spark):
+    """The lead of the best dictionary must grow with the text."""
+    rows = given_docs()
+    classify = language_id.Classifier(language_id.learn(frame(spark, rows))).classify
+    rng = random.Random(5)
+    for lang in ("fr", "en"):
+        words = [w for i, t, own, *_ in rows if own == lang and zlib.crc32(str(i).encode()) % 4 == 2 for w in t.split()]
+        text = " ".join(rng.choices(words, k=5_000_000 // 4))[:5_000_000]
+        short, long_ = classify(text[:10_000]), classify(text)
+        assert len(text) == 5_000_000 and short[0] == long_[0] == lang
+        assert long_[1] > 10 * language_id.NARROW and long_[1] > short[1] / 2
