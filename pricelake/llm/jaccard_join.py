@@ -14,15 +14,17 @@ Token-group matrix.
    linear in its size, not by comparing all pairs.
 2. *Matrix.*  Sets are ordered rarest shingle first (counts of all documents
    in a fixed-size table).  Two sets of the wanted overlap share a shingle
-   among their first ``n - ceil(0.75 n) + 1``, whatever the order.  The matrix
-   has a row for each such shingle with the groups that hold it; a class and
-   a group of another component that share one are a candidate, if sizes and
-   the places of the shingle still allow the overlap.
+   among their first ``n - ceil(0.75 n) + 1``, whatever the order.  Shingles
+   that only one component holds there are dropped first.  The matrix has a
+   row for each other shingle with the groups that hold it; a class and a group
+   of another component that share one are a candidate, if the group's sizes
+   and places of the shingle still allow the overlap.  Classes of one shingle
+   are salted, so one that very many hold is not the work of one task.
 3. *Bound and open.*  A class carries a bit set of its shingles' buckets, four
    buckets a shingle; a bucket that only one of two sets has is a shingle that
    they do not share, which bounds their overlap from above.  Candidate groups
    without a member that can reach the overlap are dropped before any set is
-   read again.  For the rest the overlap of the query set with the group's
+   read again (a group's queries are salted).  For the rest the overlap of the query set with the group's
    token union is a second bound; only groups that reach the query's needed
    overlap are opened, and their members compared until one links (more links
    inside a component change nothing).
@@ -60,7 +62,8 @@ SLOT_BITS = 20
 SLOT_BLOCK = 4096
 ENTRIES_PER_PARTITION = 2_000_000
 FILTER_BITS = 23
-PAIR_BATCH = 4_000_000
+BLOCK_BITS = 18
+SALT_ROWS = 512
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -274,90 +277,106 @@ def _prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
     return docs.select("text").mapInPandas(run, "cid long, n int, tokens binary")
 
 
-_ENTRY = np.dtype([("token", "<u8"), ("cid", "<i8"), ("comp", "<i8"), ("gid", "<i8"), ("n", "<i4"), ("place", "<i4")])
+def _per_token(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """All tokens of a batch of prefixes, and the row of each."""
+    per = (pdf["tokens"].str.len() // 8).to_numpy()
+    return np.frombuffer(b"".join(pdf["tokens"]), dtype="<u8"), np.repeat(np.arange(len(pdf)), per)
 
 
-def _matrix_rows(prefixes: DataFrame, parts: int) -> DataFrame:
-    """(part, entries): the matrix entries of a batch, packed by partition."""
+def _spread(tokens: np.ndarray, low: np.ndarray, high: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(token, least comp, greatest comp, entries), a row for each token."""
+    order = np.argsort(tokens, kind="stable")
+    tokens = tokens[order]
+    at = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
+    return (tokens[at], np.minimum.reduceat(low[order], at), np.maximum.reduceat(high[order], at),
+            np.add.reduceat(n[order], at))
+
+
+def _shared_tokens(prefixes: DataFrame, parts: int) -> DataFrame:
+    """(token, entries): the tokens that two components hold.  A batch sends a
+    token once, with the least and the greatest component there, so a family
+    of near copies in one component costs a row a batch and no pairs."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if not len(pdf):
                 continue
-            tokens = np.frombuffer(b"".join(pdf["tokens"]), dtype="<u8")
-            per = (pdf["tokens"].str.len() // 8).to_numpy()
-            e = np.zeros(len(tokens), dtype=_ENTRY)
-            e["token"] = tokens
-            for name in ("cid", "comp", "gid", "n"):
-                e[name] = np.repeat(pdf[name].to_numpy(), per)
-            e["place"] = np.arange(len(tokens)) - np.repeat(np.cumsum(per) - per, per)
+            tokens, row = _per_token(pdf)
+            comp = pdf["comp"].to_numpy()[row]
+            tokens, low, high, n = _spread(tokens, comp, comp, np.ones(len(tokens), dtype=np.int64))
             part = (tokens % np.uint64(parts)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             cuts = np.flatnonzero(np.diff(part[order])) + 1
-            yield pd.DataFrame([(int(part[g[0]]), _packed(e[g])) for g in np.split(order, cuts)],
-                               columns=["part", "entries"])
-    return prefixes.mapInPandas(run, "part int, entries binary")
-
-
-def _packed(e: np.ndarray) -> bytes:
-    """Column by column, so equal columns (a lone class) compress."""
-    return b"".join(e[c].tobytes() for c in _ENTRY.names)
-
-
-def _unpacked(blob: bytes) -> np.ndarray:
-    n = len(blob) // _ENTRY.itemsize
-    e, at = np.zeros(n, dtype=_ENTRY), 0
-    for c in _ENTRY.names:
-        size = n * _ENTRY[c].itemsize
-        e[c] = np.frombuffer(blob[at:at + size], dtype=_ENTRY[c])
-        at += size
-    return e
-
-
-def _candidates(pdf: pd.DataFrame) -> pd.DataFrame:
-    """(q, comp, gid, m): classes and other components that share a shingle,
-    where sizes and places allow the overlap, with the component's group that
-    shares most here.  The larger set is the query."""
-    e = np.concatenate([_unpacked(b) for b in pdf["entries"]])
-    _, first = np.unique(np.stack([e["token"], e["cid"].view(np.uint64)]), axis=1, return_index=True)
-    e = e[first]  # by token; a class once
-    starts = np.flatnonzero(np.r_[True, e["token"][1:] != e["token"][:-1]])
-    size = np.diff(np.r_[starts, len(e)])
-    alive = np.repeat(size > 1, size)
-    e = e[alive]
-    left = np.repeat(size[size > 1], size[size > 1]) - _ramp(size[size > 1])  # entries from here to the run's end
-    found, held = [], 0
-    for step in range(1, int(left.max(initial=1))):
-        at = np.flatnonzero(left > step)
-        for lo in range(0, len(at), PAIR_BATCH):
-            i = at[lo:lo + PAIR_BATCH]
-            a, b = e[i], e[i + step]
-            need = -(-NUM * (a["n"].astype(np.int64) + b["n"]) // (NUM + DEN))
-            most = 1 + np.minimum(a["n"] - a["place"], b["n"] - b["place"]) - 1
-            ok = ((a["comp"] != b["comp"]) & (most >= need)
-                  & (DEN * np.minimum(a["n"], b["n"]).astype(np.int64) >= NUM * np.maximum(a["n"], b["n"]).astype(np.int64)))
-            a, b = a[ok], b[ok]
-            swap = (a["n"] < b["n"]) | ((a["n"] == b["n"]) & (a["cid"] < b["cid"]))
-            found.append(np.stack([np.where(swap, b["cid"], a["cid"]), np.where(swap, a["comp"], b["comp"]),
-                                   np.where(swap, a["gid"], b["gid"]), np.ones(len(a), dtype=np.int64)], axis=1))
-            held += len(a)
-        if held > PAIR_BATCH:
-            found = [_counted(np.concatenate(found))]
-            held = 0
-    rows = _counted(np.concatenate(found)) if found else np.zeros((0, 4), dtype=np.int64)
-    rows = rows[np.lexsort((-rows[:, 3], rows[:, 1], rows[:, 0]))]
-    first = np.r_[True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1)] if len(rows) else np.zeros(0, dtype=bool)
-    return pd.DataFrame(rows[first], columns=["q", "comp", "gid", "m"])
-
-
-def _counted(rows: np.ndarray) -> np.ndarray:
-    """Rows (q, comp, gid, m) with the m of equal (q, comp, gid) added."""
-    keys, inverse = np.unique(rows[:, :3], axis=0, return_inverse=True)
-    return np.column_stack([keys, np.bincount(inverse.ravel(), rows[:, 3]).astype(np.int64)])
-
-
-def _ramp(sizes: np.ndarray) -> np.ndarray:
-    """0..s-1 for each size s."""
-    return np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            # column by column, mostly zeros after the first two: compresses well
+            yield pd.DataFrame([(int(part[g[0]]), b"".join(x.tobytes() for x in (tokens[g], low[g], low[g] ^ high[g], n[g])))
+                                for g in np.split(order, cuts)], columns=["part", "tokens"])
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        blobs = [np.frombuffer(b, dtype=np.int64).reshape(4, -1) for b in pdf["tokens"]]
+        tokens, low, apart, n = np.concatenate(blobs, axis=1)
+        tokens, low, high, n = _spread(tokens, low, low ^ apart, n)
+        return pd.DataFrame({"token": tokens, "entries": n})[low != high]
+    return (prefixes.select("comp", "tokens").mapInPandas(run, "part int, tokens binary")
+            .groupBy("part").applyInPandas(add, "token long, entries long"))
+
+
+def _bit_table(tokens: DataFrame, bits: int) -> np.ndarray:
+    """Bit set of the last ``bits`` bits of the tokens, 8 to a byte."""
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        flags = np.zeros(1 << BLOCK_BITS, dtype=np.uint8)
+        flags[pdf["bit"].to_numpy() & ((1 << BLOCK_BITS) - 1)] = 1
+        return pd.DataFrame({"block": pdf["block"].iloc[:1], "flags": [np.packbits(flags, bitorder="little").tobytes()]})
+    bit = F.pmod("token", F.lit(1 << bits))
+    rows = (tokens.select(bit.alias("bit")).distinct().withColumn("block", F.shiftright("bit", BLOCK_BITS))
+            .groupBy("block").applyInPandas(pack, "block long, flags binary").collect())
+    table = np.zeros((1 << (bits - BLOCK_BITS), 1 << (BLOCK_BITS - 3)), dtype=np.uint8)
+    for r in rows:
+        table[r["block"]] = np.frombuffer(bytes(r["flags"]), dtype=np.uint8)
+    return table.ravel()
+
+
+def _entries(prefixes: DataFrame, shared: DataFrame) -> DataFrame:
+    """(token, salt, salts, cid, comp, gid, n, place): the matrix entries of the
+    shared tokens.  A fixed-size bit table keeps most others out of the
+    shuffle; the join is exact.  Salts of a token hold about ``SALT_ROWS``
+    classes each."""
+    bits = min(FILTER_BITS + 5, max(FILTER_BITS, (8 * shared.count()).bit_length()))
+    table = _bit_table(shared, bits)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            tokens, row = _per_token(pdf)
+            place = np.arange(len(tokens)) - np.searchsorted(row, np.arange(len(pdf)))[row]
+            bit = (tokens & np.uint64((1 << bits) - 1)).astype(np.int64)
+            hit = np.flatnonzero((table[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1)
+            yield pd.DataFrame({"token": tokens[hit].view(np.int64), "place": place[hit],
+                                **{c: pdf[c].to_numpy()[row[hit]] for c in ("cid", "comp", "gid", "n")}})
+    salts = F.ceil(F.col("entries") / F.lit(SALT_ROWS)).cast("int")
+    return (prefixes.mapInPandas(run, "token long, place int, cid long, comp long, gid long, n int")
+            .join(shared, "token").withColumn("salts", salts)
+            .select("token", F.pmod(F.xxhash64("cid"), "salts").cast("int").alias("salt"), "salts", "cid", "comp", "gid",
+                    "n", "place"))
+
+
+def _candidates(entries: DataFrame) -> DataFrame:
+    """(q, comp, gid): classes and other components that share a shingle, where
+    sizes and places allow the overlap, with the component's group that shares
+    most.  A token's entries are first reduced to its groups; each class meets
+    the groups of other components.  The larger set is the query."""
+    groups = (entries.groupBy("token", "comp", "gid")
+              .agg(F.first("salts").alias("salts"), F.min(F.struct("n", "cid")).alias("low"), F.max("n").alias("high"),
+                   F.max(F.col("n") - F.col("place")).alias("room"))
+              .select("token", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+                      F.col("comp").alias("other"), F.col("gid").alias("g"), "low", "high", "room"))
+    # the smallest partner that the sizes allow asks for the least overlap
+    least = F.greatest(F.col("low.n"), F.ceil(F.col("n") * NUM / F.lit(DEN)))
+    need = F.ceil((F.col("n") + least) * NUM / F.lit(NUM + DEN))
+    fits = ((F.col("comp") != F.col("other")) & (F.col("low") < F.struct("n", "cid"))
+            & (F.col("high") * DEN >= F.col("n") * NUM) & (F.least("room", F.col("n") - F.col("place")) >= need))
+    return (entries.drop("salts").join(groups, ["token", "salt"]).filter(fits)
+            .groupBy(F.col("cid").alias("q"), F.col("other").alias("comp"), F.col("g").alias("gid"))
+            .agg(F.count(F.lit(1)).alias("m")).groupBy("q", "comp").agg(F.max_by("gid", "m").alias("gid")))
 
 
 def _bound(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
@@ -383,21 +402,32 @@ def _open(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
     return queries.loc[ok, ["q", "comp"]]
 
 
+def _salted(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The queries with a salt, about ``SALT_ROWS`` of a group to each, and the
+    (gid, salt) there are: a group asked by very many classes is no single task."""
+    salts = materialize(pairs.groupBy("gid").agg(F.ceil(F.count(F.lit(1)) / F.lit(SALT_ROWS)).cast("int").alias("salts")))
+    salted = (pairs.join(salts, "gid").withColumn("salt", F.pmod(F.xxhash64("q"), "salts").cast("int")).drop("salts"))
+    return salted, salts.select("gid", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+
+
 def _links(docs: DataFrame, pairs: DataFrame, classes: DataFrame, grouped: DataFrame) -> DataFrame:
     """Of the candidates (q, comp, gid) the (q, comp) with a link into the group."""
     members = classes.join(grouped.select("cid", "gid"), "cid")
-    held = members.join(pairs.select("gid").distinct(), "gid", "left_semi").select("gid", "cid", "n", "bits")
+    pairs, salts = _salted(pairs)
+    held = members.join(salts, "gid").select("gid", "salt", "cid", "n", "bits")
     asking = (pairs.join(classes.select(F.col("cid").alias("q"), F.col("n").alias("n_q"), F.col("bits").alias("bits_q")), "q")
-              .select("gid", "q", "comp", "n_q", "bits_q"))
-    left = materialize(asking.groupBy("gid").cogroup(held.groupBy("gid")).applyInPandas(_bound, "q long, comp long, gid long"))
+              .select("gid", "salt", "q", "comp", "n_q", "bits_q"))
+    left = materialize(asking.groupBy("gid", "salt").cogroup(held.groupBy("gid", "salt"))
+                       .applyInPandas(_bound, "q long, comp long, gid long"))
     opened = grouped.join(left.select("gid").distinct(), "gid", "left_semi").select("cid", "th", "gid")
     asked = grouped.join(left.select(F.col("q").alias("cid")).distinct(), "cid", "left_semi").select("cid", "th")
     sets = materialize(sets_of(docs, opened.select("cid", "th").union(asked).distinct()))
+    left, salts = _salted(left)
     queries = (left.join(sets.select(F.col("cid").alias("q"), F.col("shingles").alias("asked")), "q")
-               .select("gid", "q", "comp", "asked"))
-    members = (opened.select("cid", "gid").join(sets.select("cid", F.col("shingles").alias("held")), "cid")
-               .select("gid", "cid", "held"))
-    return materialize(queries.groupBy("gid").cogroup(members.groupBy("gid"))
+               .select("gid", "salt", "q", "comp", "asked"))
+    members = (opened.select("cid", "gid").join(salts, "gid")
+               .join(sets.select("cid", F.col("shingles").alias("held")), "cid").select("gid", "salt", "cid", "held"))
+    return materialize(queries.groupBy("gid", "salt").cogroup(members.groupBy("gid", "salt"))
                        .applyInPandas(_open, "q long, comp long").distinct())
 
 
@@ -418,10 +448,10 @@ def jaccard_links(docs: DataFrame) -> DataFrame:
     # matrix
     entries = classes.agg(F.sum(F.col("n") - F.ceil(F.col("n") * F.lit(NUM / DEN)) + 1)).first()[0] or 0
     parts = max(shuffle_partitions(spark), entries // ENTRIES_PER_PARTITION)
-    prefixes = _prefixes(docs, _slot_counts(slots)).join(grouped.select("cid", "comp", "gid"), "cid")
-    found = _matrix_rows(prefixes.select("cid", "comp", "gid", "n", "tokens"), parts).groupBy("part").applyInPandas(
-        _candidates, "q long, comp long, gid long, m long")
-    candidates = materialize(found.groupBy("q", "comp").agg(F.max_by("gid", "m").alias("gid")))
+    prefixes = materialize(_prefixes(docs, _slot_counts(slots)).dropDuplicates(["cid"])
+                           .join(grouped.select("cid", "comp", "gid"), "cid"))
+    shared = materialize(_shared_tokens(prefixes, parts))
+    candidates = materialize(_candidates(materialize(_entries(prefixes, shared))))
     # bound and open: the group that shares most, then, where it has no link, the component's other groups
     links = _links(docs, candidates, classes, grouped)
     groups = grouped.select("comp", F.col("gid").alias("other")).distinct()

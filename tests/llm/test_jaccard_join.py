@@ -2,6 +2,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from pricelake.llm import jaccard_join as jj
@@ -106,3 +107,35 @@ def test_components_of_a_chain_and_a_star(spark):
     got = {r["v"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert len({got[x] for x in range(200)}) == 1 and len({got[x] for x in range(1000, 1100)}) == 1
     assert len(set(got.values())) == 3
+
+
+PREFIX = "cid long, n int, tokens binary, comp long, gid long"
+
+
+def prefix(cid, tokens, comp, gid, n=40):
+    return (cid, n, np.array(tokens, dtype="<u8").tobytes(), comp, gid)
+
+
+def test_a_family_in_one_component_forms_no_pairs(spark):
+    """Tokens of one component only never reach the join, whatever their number."""
+    rows = [prefix(i, [7, 2**63 + 5, 1000 + i], 1, i % 3) for i in range(4000)]
+    rows += [prefix(5000, [9, 11], 5000, 5000), prefix(5001, [9, 12], 5001, 5001), prefix(5002, [7, 13], 5002, 5002)]
+    prefixes = spark.createDataFrame(rows, PREFIX).repartition(5)
+    shared = jj._shared_tokens(prefixes, 4)
+    assert sorted(map(tuple, shared.collect())) == [(7, 4001), (9, 2)]
+    entries = jj._entries(prefixes, shared).cache()
+    per_salt = entries.groupBy("token", "salt").count().collect()
+    assert sum(r["count"] for r in per_salt) == 4003 and max(r["count"] for r in per_salt) < 2 * jj.SALT_ROWS
+    # the odd class meets three groups; of ties in size the larger class asks
+    got = sorted((r["q"], r["comp"]) for r in jj._candidates(entries).collect())
+    assert got == [(5001, 5000), (5002, 1)]
+
+
+def test_hot_passage_of_many_components(spark, monkeypatch):
+    """Many salts for a token and for a group's queries: all links are found."""
+    monkeypatch.setattr(jj, "SALT_ROWS", 2)
+    monkeypatch.setattr(jj, "_leader_pairs", lambda classes: classes.select(
+        classes["cid"].alias("a"), classes["cid"].alias("b")).limit(0))
+    rows = families(5, 4, 24)
+    got = jj.jaccard_components(frame(spark, rows)).collect()
+    assert sorted(str(tuple(r)[:3]) for r in got) == brute(rows)
