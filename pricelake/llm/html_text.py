@@ -11,15 +11,18 @@ descendants never contradict each other.  The text of the nodes in the main
 text, in page order, is the result.
 
 Training.  Pages carry no labels, so a bounded sample (``SAMPLE_PAGES``, by
-hash of the id) is labelled by its own mark-up (``article``, ``main``) and
-re-composed: its article under other wrappers, among menus, headers, sidebars,
-notices, adverts, forms and reader comments filled with text of the sample.
-That teaches the features behind the tags rather than one page layout.
+hash of the id) of those that mark their main text (``article``, ``main``) is
+labelled by that mark-up and re-composed: its article under other wrappers,
+among menus, headers, sidebars, notices, adverts, forms and reader comments
+filled with text of the sample.  That teaches the features behind the tags
+rather than one page layout.  Where no page marks its main text, the articles
+to re-compose are runs of the long text blocks of a sample of all pages, or of
+fixed words where there is no such block either.
 
 Edge cases: null or empty html gives an empty text; unclosed or stray tags,
 unclosed comments and scripts never fail; very long pages are read whole;
 repeated rows get equal answers; null page_ids are kept; an empty table gives
-an empty result; without a labelled sample all text is empty.
+an empty result.
 """
 
 from __future__ import annotations
@@ -307,6 +310,10 @@ def compose(article: str, texts: list[str], rng: random.Random) -> tuple[str, st
 
 
 _ARTICLE = re.compile(r"<(article|main)\b[^>]*>(.*?)(?:</\1>|\Z)", re.S | re.I)
+MARKED = r"(?i)<(article|main)\b[^>]*>"  # the same pages, for Spark
+WORDS = ("the of and a to in is was he for it with as his on be at by had not are but from or have an they which one you "
+         "were her all she there would their we him been has when who will more no if out so said what up its about into "
+         "than them can only other new some could time these two may then do first any my now such like our over").split()
 
 
 def _labels(page: Page, mains: set[int]) -> np.ndarray:
@@ -347,22 +354,35 @@ class Model:
         return out
 
 
-def fit(sources: list[str], variants: int = VARIANTS) -> Model | None:
-    """Train on html pages that mark their main text; None without any."""
-    found = [(s, m) for s in sources if (m := _ARTICLE.search(s))]
+def _made_articles(sources: list[str], rng: random.Random, count: int = SAMPLE_PAGES) -> list[str]:
+    """Articles for pages that mark none: runs of their long text blocks."""
+    blocks = [html.escape(t) for s in sources for _, t, linked in Page(s).blocks if len(t) > 80 and 2 * linked < len(t)]
+    if len(blocks) < 20:
+        blocks += [" ".join(rng.choices(WORDS, k=rng.randint(8, 18))).capitalize() + ". " for _ in range(200)]
+    out = []
+    for _ in range(count):
+        paras = ["".join(f"<p>{' '.join(rng.choices(blocks, k=rng.randint(1, 3)))}</p>") for _ in range(rng.randint(1, 8))]
+        out.append(f"<h1>{' '.join(rng.choice(blocks).split()[:rng.randint(2, 8)])}</h1>" + "".join(paras))
+    return out
+
+
+def fit(sources: list[str], variants: int = VARIANTS) -> Model:
+    """Train on html pages that mark their main text; without any, on made articles."""
+    found = [(s, m[2]) for s in sources if (m := _ARTICLE.search(s))]
     if not found:
-        return None
+        found = [(f"<html><body><article>{a}</article></body></html>", a)
+                 for a in _made_articles(sources, random.Random(len(sources)))]
     texts = [t for s, _ in found for _, t, _ in Page(s).blocks if len(t) > 20] or ["text"]
     texts = [html.escape(t) for t in texts[:20_000]]
     pages, labels = [], []
-    for s, m in found:
+    for s, article in found:
         page = Page(s)
         mains = {i for i, t in enumerate(page.tag) if t in ("article", "main")}
         pages.append(page)
         labels.append(_labels(page, mains))
         rng = random.Random(zlib.crc32(s.encode("utf-8", "replace")))
         for _ in range(variants):
-            source, mark = compose(m[2], texts, rng)
+            source, mark = compose(article, texts, rng)
             page = Page(source)
             place = source.index(mark)
             node = len(Page(source[:source.rindex("<", 0, place)]).tag)  # the wrapper's own number
@@ -374,23 +394,28 @@ def fit(sources: list[str], variants: int = VARIANTS) -> Model | None:
 
 
 def sample(pages: DataFrame, size: int = SAMPLE_PAGES) -> list[str]:
-    """About ``size`` pages by the hash of their id: the training sample."""
+    """About ``size`` of the pages that mark their main text (of all, where
+    none does) by the hash of their id: the training sample."""
+    known = pages.filter(F.col("page_id").isNotNull() & F.col("html").isNotNull())
+    marked = known.filter(F.col("html").rlike(MARKED))
+    n = marked.count()
+    if not n:
+        marked, n = known, known.count()
     space = 1 << 40
-    limit = min(space, size * space // max(pages.count(), 1))
-    rows = (pages.filter((F.pmod(F.xxhash64("page_id"), F.lit(space)) < limit)
-                         & F.col("page_id").isNotNull() & F.col("html").isNotNull())
-            .select("page_id", "html").collect())
-    return [r["html"] for r in sorted(rows, key=lambda r: (r["page_id"], r["html"]))][:2 * size]
+    limit = min(space, 2 * size * space // max(n, 1))  # twice the wanted number is expected; the surplus goes
+    place = F.pmod(F.xxhash64("page_id"), F.lit(space))
+    rows = marked.select("page_id", "html", place.alias("place")).filter(F.col("place") < limit).collect()
+    return [r["html"] for r in sorted(rows, key=lambda r: (r["place"], r["page_id"], r["html"]))][:size]
 
 
-def extract(pages: DataFrame, model: Model | None) -> DataFrame:
+def extract(pages: DataFrame, model: Model) -> DataFrame:
     """page_id, url, text, n_chars for every page."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = []
             for start in range(0, len(pdf), 200):
                 own = pdf["html"].iloc[start:start + 200].tolist()
-                texts += model.texts(own) if model else [""] * len(own)
+                texts += model.texts(own)
             yield pd.DataFrame({"page_id": pdf["page_id"].to_numpy(), "url": pdf["url"].to_numpy(), "text": texts,
                                 "n_chars": [len(t) for t in texts]})
     return map_in_pandas(pages.select("page_id", "url", "html"), run,

@@ -91,3 +91,23 @@ def test_query(spark, given, model):
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     empty = spark.createDataFrame([], SCHEMA)
     assert ht.extract(empty, ht.fit(ht.sample(empty))).count() == 0
+
+
+def test_few_marked_pages_are_found(spark, given):
+    """One page in a hundred marks its main text: the sample has only those."""
+    rows = [(1000 + i, "u", f"<div class=content><p>plain page {i}</p></div>") for i in range(2000)] + given[:20]
+    got = ht.sample(spark.createDataFrame(rows, SCHEMA), 10)
+    assert len(got) == 10 and all("<article>" in h for h in got)
+
+
+@pytest.mark.parametrize("enough", [True, False])
+def test_pages_without_marks_keep_their_text(spark, given, enough):
+    rows = [(i, u, h.replace("<article>", "<div class=content>").replace("</article>", "</div>")) for i, u, h in given]
+    df = spark.createDataFrame(rows if enough else rows[:1], SCHEMA)
+    got = {r["page_id"]: r["text"] for r in ht.extract(df, ht.fit(ht.sample(df))).collect()}
+    kept = wanted = 0
+    for page_id, _, h in given[:len(got)]:
+        words = set(article(h).split())
+        kept += len(words & set(got[page_id].split()))
+        wanted += len(words)
+    assert kept / wanted > 0.9
