@@ -49,7 +49,7 @@ TOKENS = 160
 # HTML's element kinds.
 # ---------------------------------------------------------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe object svg math select".split())
+RAW = frozenset("script style textarea title iframe".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s "
                    "samp small span strike strong sub sup time tt u var wbr".split())
 # An opening tag closes an open element of its own group.
@@ -63,13 +63,14 @@ SCOPES = frozenset("article aside body div dl fieldset footer form header html m
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)(?:>|\Z)", re.S)
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+|[^>]*)(?:>|\Z)|</?\Z", re.S)  # the last: a tag cut off by the end
 _ATTR = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _PART = re.compile(r"[a-z]+")
 
 
 class Page:
-    """Block tree of a page.  Node 0 is the document."""
+    """Block tree of a page.  Node 0 is the document; text outside all block
+    elements is a node of its own below it."""
 
     def __init__(self, source: str):
         self.tag, self.words, self.parent, self.kids = ["#"], [()], [-1], [[]]
@@ -87,7 +88,8 @@ class Page:
             if parts:
                 text = " ".join(html.unescape("".join(parts)).split())
                 if text:
-                    self.blocks.append((stack[-1], text, min(linked, len(text))))
+                    owner = stack[-1] or self._add("#text", ("#text",), 0)
+                    self.blocks.append((owner, text, min(linked, len(text))))
                 parts, linked = [], 0
 
         while True:
@@ -106,7 +108,8 @@ class Page:
             if tag in RAW:
                 if not m[1] and not m[3].endswith("/"):
                     end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(source, pos)
-                    pos = end.end() if end else len(source)
+                    if end or tag == "script":  # any other that is never closed hides nothing
+                        pos = end.end() if end else len(source)
                     parts.append(" ")
                 continue
             if tag in INLINE:
@@ -136,16 +139,20 @@ class Page:
                     break
             if tag in VOID:
                 continue
-            node = len(self.tag)
-            self.tag.append(tag)
-            self.words.append(_words(tag, m[3]))
-            self.parent.append(stack[-1])
-            self.kids.append([])
-            self.kids[stack[-1]].append(node)
+            node = self._add(tag, _words(tag, m[3]), stack[-1])
             if not m[3].endswith("/"):
                 stack.append(node)
         flush()
 
+    def _add(self, tag: str, words: tuple[str, ...], parent: int) -> int:
+        node = len(self.tag)
+        self.tag.append(tag)
+        self.words.append(words)
+        self.parent.append(parent)
+        self.kids.append([])
+        self.kids[parent].append(node)
+        return node
+
     def text(self, keep) -> str:
         return " ".join(t for owner, t, _ in self.blocks if keep[owner])
 
@@ -316,6 +323,14 @@ WORDS = ("the of and a to in is was he for it with as his on be at by had not ar
          "than them can only other new some could time these two may then do first any my now such like our over").split()
 
 
+def _bare(article: str, texts: list[str], rng: random.Random) -> str:
+    """A page whose main text is in no block element."""
+    words = [f"<b>{w}</b>" if rng.random() < 0.02 else w
+             for _, t, _ in Page(article).blocks for w in html.escape(t).split()]
+    some = lambda: _frame(rng.choice(list(FRAME)), texts, rng) if rng.random() < 0.3 else ""
+    return some() + " ".join(words[:rng.choice([30, 100, len(words)])]) + some()
+
+
 def _labels(page: Page, mains: set[int]) -> np.ndarray:
     """1 for nodes in a main wrapper and not in a frame element inside it."""
     y = np.zeros(len(page.tag), dtype=bool)
@@ -388,6 +403,9 @@ def fit(sources: list[str], variants: int = VARIANTS) -> Model:
             node = len(Page(source[:source.rindex("<", 0, place)]).tag)  # the wrapper's own number
             pages.append(page)
             labels.append(_labels(page, {node}))
+        page = Page(_bare(article, texts, rng))
+        pages.append(page)
+        labels.append(_labels(page, {i for i, t in enumerate(page.tag) if t == "#text"}))
     vocabulary = Vocabulary(pages)
     x = np.concatenate([features(p, vocabulary) for p in pages])
     return Model(vocabulary, Boosted().fit(x, np.concatenate(labels).astype(float)))

@@ -111,3 +111,18 @@ def test_pages_without_marks_keep_their_text(spark, given, enough):
         kept += len(words & set(got[page_id].split()))
         wanted += len(words)
     assert kept / wanted > 0.9
+
+
+def test_no_text_is_dropped_unread():
+    page = ht.Page("<body><noscript><p>a</p></noscript><object>b</object><select><option>c</select><template><p>d</p></template>"
+                   "<p>e <svg><text>f</text></svg> <math><mi>g</mi></math></p><iframe>x</iframe></body>")
+    assert " ".join(t for _, t, _ in page.blocks) == "a b c d e f g"
+    for tag in ("noscript", "object", "svg", "math", "select", "template", "textarea", "iframe", "style", "title"):
+        page = ht.Page(f"<body><p>before</p><{tag}><p>after</p></body>")
+        assert [t for _, t, _ in page.blocks] == ["before", "after"], tag
+
+
+def test_text_outside_all_blocks_is_labelled(given, model):
+    plain = [" ".join(article(h).split()[:150]) for _, _, h in given[:40]]
+    got = model.texts([html.escape(t).replace(" the ", " <i>the</i> ") for t in plain])
+    assert sum(a == b for a, b in zip(got, plain)) >= 38
