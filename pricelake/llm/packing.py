@@ -122,7 +122,7 @@ def _pattern(left: np.ndarray, longest: int, capacity: int) -> dict[int, int]:
         k = min(int(left[x]), gap // x)
         put(x, k)
         gap -= k * x
-    while gap and len(pattern) > 1:
+    while gap and sum(pattern.values()) > 1:
         smallest = min(pattern)
         pair = _best_pair(left, gap + smallest)
         if pair is None or sum(pair) <= smallest:

@@ -53,6 +53,13 @@ def test_two_fit_replaces_the_smallest():
     assert at[60] == at[21] == at[19] != at[30]
 
 
+def test_two_fit_replaces_one_of_equal_lengths():
+    # greedy: 1500 + 1500 leaves 1096; one 1500 out, 1300 + 1296 fill the gap exactly
+    plan = packing.Plan({1500: 2, 1300: 1, 1296: 1}, 4096)
+    seq = plan.place(np.array([1500, 1500, 1300, 1296]), np.array([0, 1, 0, 0]))[0].tolist()
+    assert plan.sequences == 2 and seq[2] == seq[3] and seq[:2].count(seq[2]) == 1
+
+
 def test_plan_size_does_not_follow_the_counts():
     counts = {x: 10**6 + x for x in range(1, 4097, 7)}
     plan = packing.Plan(counts, 4096)
