@@ -10,7 +10,8 @@ the same of its left and right neighbour; features of the file: size, share
 of digits, number of assignments.  Weights are trained here by forward-
 backward gradients (AdaGrad, fixed number of rounds, no randomness) on token
 windows of a bounded sample of documents (``SAMPLE_DOCS``, by hash of the id)
-whose labels are the base spans.
+whose labels are the base spans.  Documents with a base match are a stratum of
+their own (``SECRET_DOCS``), so rare secrets are learned from as well.
 
 Decoding is exact Viterbi on whole texts.  A token whose best secret score is
 below its outside score by more than any change of the transitions and of the
@@ -45,11 +46,15 @@ ASSIGN_MIN = 12
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 ACCESS_MIN = 18
 HEX = re.compile(r"[0-9a-f]{16,}")  # the runs of [0-9a-f]+ of 16 or more
+# A text with a base match, for Spark (sampling only).
+MATCHED = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]{12,}"""
+           r"|AKIA[A-Z0-9]{14,}|[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "crf")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 TOKEN = re.compile(r"[^\W_]+(?:[+/_.\-][^\W_]+)*|[^\w\s]+|_+")
 SAMPLE_DOCS = 6000
+SECRET_DOCS = 600  # of the sample, documents with a base match
 WINDOW = 24
 ROUNDS = 40
 WORDS = 400
@@ -231,14 +236,17 @@ def _logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
-def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Weights:
-    """Train on windows of about ``sample_docs`` documents, chosen by the hash
-    of their id; the windows are all that reaches the driver."""
-    n = docs.count()
+def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, secret_docs: int = SECRET_DOCS) -> Weights:
+    """Train on windows of about ``sample_docs`` documents, ``secret_docs`` of
+    them with a base match, chosen by the hash of their id; the windows are
+    all that reaches the driver."""
+    known = (docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+             .select("doc_id", "text", F.col("text").rlike(MATCHED).alias("matched")))
+    counts = {r["matched"]: r["count"] for r in known.groupBy("matched").count().collect()}
     space = 1 << 40
-    limit = min(space, sample_docs * space // max(n, 1))
-    picked = docs.filter((F.pmod(F.xxhash64("doc_id"), F.lit(space)) < limit)
-                         & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    limits = [min(space, size * space // max(counts.get(matched, 0), 1))
+              for matched, size in ((True, secret_docs), (False, sample_docs - secret_docs))]
+    picked = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(space)) < F.when(F.col("matched"), limits[0]).otherwise(limits[1]))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

@@ -110,3 +110,16 @@ def test_query(spark, rows):
     assert sorted(str(tuple(r)[:5]) for r in got) == sorted(map(str, want))
     for r in got:
         assert all(p.split(":")[0] in sc.KINDS for p in r["spans"].split(",") if p)
+
+
+def test_rare_secrets_are_learned_from(spark):
+    rows = [r for r in given_docs() if not brute_base(r[1])]
+    rows += [(10_000 + i, f"the key is password={i}b7db7aa4a5fcc7830{i} here", "en", "s", 1) for i in range(3)]
+    assert sc.fit(frame(spark, rows), 20, 5).trained
+
+
+def test_spark_finds_the_texts_with_a_base_match(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(SECRETS)], "i int, text string")
+    got = {r["i"]: r["m"] for r in df.select("i", F.col("text").rlike(sc.MATCHED).alias("m")).collect()}
+    assert got == {i: bool(brute_base(t)) for i, (t, _) in enumerate(SECRETS)}
