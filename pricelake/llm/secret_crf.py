@@ -60,6 +60,7 @@ ROUNDS = 40
 WORDS = 400
 BUCKETS = 1 << 13
 MAX_TOKENS = 300_000
+MARKS = "\"'`,;"  # they end a value and are no part of it
 O, B, I = 0, 1, 2
 NEVER = -1e4
 
@@ -359,11 +360,16 @@ class Tagger:
 
 
 def scan_text(text: str | None, tagger: Tagger) -> tuple[list[Span], list[Span]]:
-    """(base spans, all spans); a CRF span that meets a base span adds nothing."""
+    """(base spans, all spans); a CRF span inside a base span (closing marks at
+    its ends aside) adds nothing."""
     if not text:
         return [], []
     base = base_spans(text)
-    added = [(a, b, "crf") for a, b in tagger.spans(text) if not any(a < y and b > x for x, y, _ in base)]
+    added = []
+    for a, b in tagger.spans(text):
+        low, high = b - len(text[a:b].lstrip(MARKS)), a + len(text[a:b].rstrip(MARKS))
+        if not any(x <= low and high <= y for x, y, _ in base):
+            added.append((a, b, "crf"))
     return base, sorted(base + added, key=_by_start)
 
 

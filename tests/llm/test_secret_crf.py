@@ -123,3 +123,21 @@ def test_spark_finds_the_texts_with_a_base_match(spark):
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(SECRETS)], "i int, text string")
     got = {r["i"]: r["m"] for r in df.select("i", F.col("text").rlike(sc.MATCHED).alias("m")).collect()}
     assert got == {i: bool(brute_base(t)) for i, (t, _) in enumerate(SECRETS)}
+
+
+class Fixed:
+    def __init__(self, *spans):
+        self.found = list(spans)
+
+    def spans(self, text):
+        return self.found
+
+
+def test_crf_spans_beside_and_around_base_spans():
+    text = "key Xy_deadbeefdeadbeef_Zq9 'deadbeefdeadbeef' end"
+    base = sc.base_spans(text)
+    assert [k for _, _, k in base] == ["hex", "hex"]
+    (a, b, _), (c, d, _) = base
+    wide, inside, quoted = (a - 3, b + 4), (a + 2, b), (c - 1, d + 1)
+    got = sc.scan_text(text, Fixed(wide, inside, quoted))
+    assert got[0] == base and [s for s in got[1] if s[2] == "crf"] == [(*wide, "crf")]
