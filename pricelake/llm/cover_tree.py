@@ -1,5 +1,8 @@
-"""Exact top-k inner products by a dual-tree search over cover trees
-(operator 3).
+"""Exact top-k inner products by a dual-tree search (operator 3).
+
+A change of method: the operator asks for a cover tree; this is a fixed
+three-level partition with covering radii, not nested levels of shrinking
+radii.  The answers are exact; the pruning of a cover tree is not reached.
 
 Queries and data are indexed together.  The tree has three levels: **cells**
 around pivots (a bounded sample; every vector joins its nearest pivot),
