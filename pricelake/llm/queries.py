@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from pricelake.llm import (cover_tree, exact_dedup, html_text, jaccard_join, language_id, mixing, packing, secret_crf,
-                           suffix_dedup, token_count)
+                           substring_dedup, suffix_dedup, token_count)
 from pricelake.llm.common import table
 
 
@@ -56,9 +56,13 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_crf.scan(docs, secret_crf.fit(docs))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats(table(spark, sf_dir, "documents", "doc_id", "text")).drop("kept_text")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_ngram_jaccard_join, op3_exact_top_k, op4_token_counts, op5_exact_dedup, op6_mixing,
-    op7_suffix_array_dedup, op8_html_extraction, op9_language_id, op10_secret_scans)}
+    op7_suffix_array_dedup, op8_html_extraction, op9_language_id, op10_secret_scans, op12_substring_dedup)}
 
 ORACLE_SQL = {
     "op3_exact_top_k": """
@@ -78,5 +82,27 @@ WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+',
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
 FROM t WINDOW w AS (PARTITION BY norm)
+""",
+    "op12_substring_dedup": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT rid, doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) AS h
+  FROM (SELECT *, unnest(range(1, len(w) - 48)) AS s FROM d WHERE len(w) >= 50)),
+firsts AS (SELECT h, min(doc_id) AS low FROM win GROUP BY h),
+gone AS (
+  SELECT DISTINCT rid, unnest(range(s, s + 50)) AS i FROM win JOIN firsts USING (h) WHERE doc_id > low),
+words AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+marked AS (
+  SELECT words.rid, words.i, word, gone.i IS NOT NULL AS cut,
+         gone.i IS NOT NULL AND NOT coalesce(lag(gone.i IS NOT NULL) OVER (PARTITION BY words.rid ORDER BY words.i), false) AS opens
+  FROM words LEFT JOIN gone ON words.rid = gone.rid AND words.i = gone.i),
+per AS (
+  SELECT rid, count(*) AS n_words, count(*) FILTER (cut) AS n_removed, count(*) FILTER (opens) AS n_spans,
+         string_agg(word, ' ' ORDER BY i) FILTER (NOT cut) AS kept
+  FROM marked GROUP BY rid)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256, coalesce(n_spans, 0) AS n_spans
+FROM d LEFT JOIN per USING (rid)
 """,
 }
