@@ -69,7 +69,7 @@ class WordHashes:
         out = np.empty((len(words), 2), dtype=np.uint64)
         for at in range(0, len(words), KNOWN_WORDS):
             part = words[at:at + KNOWN_WORDS]
-            new = set(part) - self.known.keys()
+            new = [w for w in set(part) if w not in self.known]
             if len(self.known) + len(new) > KNOWN_WORDS:
                 self.known, new = {}, set(part)
             for w in new:
