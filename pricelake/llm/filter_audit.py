@@ -17,7 +17,9 @@ filters can be applied, what every step keeps, removes and loses.
    arrives, the earlier rows' masks are **retracted** from the part counters
    (-n without E) and counted again with E.  Before the exchange each Arrow
    batch of rows is reduced to one candidate row for each text, so a text that
-   a third of all rows share sends some rows for each batch of 10,000.
+   a third of all rows share sends some rows for each batch of 10,000.  Texts
+   are kept some 256 to a state entry, by their digest, since a call for each
+   text costs milliseconds; the number of entries grows with the table.
 3. *Part counters.*  Every micro-batch leaves one small table of signed counts
    by (part, mask, labels) in a folder of its own number, written anew if the
    batch is replayed.  Their sum is at most 128 rows for each part; the 600
@@ -26,7 +28,7 @@ filters can be applied, what every step keeps, removes and loses.
 State and progress live in the stream's checkpoint below the shared checkpoint
 folder, so a lost executor costs the running micro-batch only.  The state store
 is the session's choice (``spark.sql.streaming.stateStore.providerClass``); it
-holds one small row for each distinct text.
+holds some 150 bytes for each distinct text.
 
 Edge cases: a null lang is the part ``''`` (as an empty one); empty texts and
 null texts are equal and fail A only (and E); rows with a null doc_id never fail
@@ -40,6 +42,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import permutations
 
@@ -55,6 +58,7 @@ BIT = {f: 1 << i for i, f in enumerate(FILTERS)}
 MIN_WORDS, DISTINCT_PERCENT, CAPITALS_PERCENT = 200, 50, 3
 CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
 SYMBOLS = b"#$%&*|"
+TEXTS_PER_ENTRY = 256  # of the state store, on average
 BATCHES = 8  # micro-batches that a table is read in, at most
 COUNTER = ["part", "mask", "good", "toxic"]
 
@@ -112,41 +116,57 @@ def _combine(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 DELTA = "part string, mask int, good boolean, toxic boolean, delta long"
 
 
-def _update(key, frames, state):
-    """Signed counts of one text's new rows; the state is (smallest doc_id,
-    its rows as [part, mask, good, toxic, n])."""
+def retract(low: int | None, held: list, rows: list[tuple]) -> tuple[int | None, list, list[tuple]]:
+    """The state of one text after new rows (doc_id, part, mask, good, toxic, n),
+    and their signed counts.  ``held``: the rows of the smallest doc_id ``low``."""
     out = []
-    low, held = (state.get[0], json.loads(state.get[1])) if state.exists else (None, [])
-    before = low
+    for doc_id, *counter, n in rows:
+        if doc_id is None:
+            out.append((*counter, n))
+            continue
+        if low is None or doc_id < low:
+            for part, mask, good, toxic, k in held:  # earlier rows turn out to be copies
+                out += [(part, mask, good, toxic, -k), (part, mask | BIT["E"], good, toxic, k)]
+            low, held = doc_id, []
+        part, mask, good, toxic = counter
+        if doc_id > low:
+            out.append((part, mask | BIT["E"], good, toxic, n))
+            continue
+        out.append((part, mask, good, toxic, n))
+        same = next((h for h in held if h[:4] == counter), None)
+        if same:
+            same[4] += n
+        else:
+            held.append([*counter, n])
+    return low, held, out
+
+
+def _update(entry, frames, state):
+    """Signed counts of the new rows of one state entry: {digest: [low, held]}."""
+    texts = json.loads(state.get[0]) if state.exists else {}
+    rows = defaultdict(list)
     for pdf in frames:
-        for doc_id, *counter, n in zip(pdf["doc_id"].tolist(), *(pdf[c].tolist() for c in COUNTER), pdf["n"].tolist()):
-            if doc_id is None:
-                out.append((*counter, n))
-                continue
-            doc_id = int(doc_id)
-            if low is None or doc_id < low:
-                for part, mask, good, toxic, k in held:  # earlier rows turn out to be copies
-                    out += [(part, mask, good, toxic, -k), (part, mask | BIT["E"], good, toxic, k)]
-                low, held = doc_id, []
-            part, mask, good, toxic = counter
-            if doc_id == low:
-                out.append((part, mask, good, toxic, n))
-                held.append([part, mask, good, toxic, n])
-            else:
-                out.append((part, mask | BIT["E"], good, toxic, n))
-    if low is not None and (low != before or len(held) > 1):
-        merged: dict[tuple, int] = {}
-        for *counter, n in held:
-            merged[tuple(counter)] = merged.get(tuple(counter), 0) + n
-        state.update((low, json.dumps([[*c, n] for c, n in merged.items()])))
-    yield pd.DataFrame(out, columns=[*COUNTER, "delta"])
-
-
-def deltas(stream: DataFrame, labels: DataFrame) -> DataFrame:
-    """The stream of signed counts by (part, mask, good, toxic)."""
+        ids = [None if i is None else int(i) for i in pdf["doc_id"]]
+        for key, *row in zip(pdf["key"], ids, *(pdf[c].tolist() for c in (*COUNTER, "n"))):
+            rows[key.hex()].append(tuple(row))
+    total: Counter = Counter()
+    for key, mine in rows.items():
+        low, held, out = retract(*texts.get(key, (None, [])), mine)
+        if low is not None:
+            texts[key] = [low, held]
+        for *counter, n in out:
+            total[tuple(counter)] += n
+    state.update((json.dumps(texts, separators=(",", ":")),))
+    yield pd.DataFrame([(*c, n) for c, n in total.items() if n], columns=[*COUNTER, "delta"])
+
+
+def deltas(stream: DataFrame, labels: DataFrame, entries: int) -> DataFrame:
+    """The stream of signed counts by (part, mask, good, toxic), with the texts
+    in ``entries`` entries of the state store."""
     rows = labelled(facts(stream), labels).select("key", F.col("doc_id").cast("string").alias("doc_id"), *COUNTER)
     reduced = rows.mapInPandas(_combine, "key binary, doc_id string, part string, mask int, good boolean, toxic boolean, n long")
-    return reduced.groupBy("key").applyInPandasWithState(_update, DELTA, "doc_id long, held string", "append", "NoTimeout")
+    return (reduced.withColumn("entry", F.pmod(F.xxhash64("key"), F.lit(entries))).groupBy("entry")
+            .applyInPandasWithState(_update, DELTA, "texts string", "append", "NoTimeout"))
 
 
 def counters(spark: SparkSession, path: str, labels: DataFrame, batches: int = BATCHES) -> DataFrame:
@@ -164,7 +184,8 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, batches: int = B
          .write.mode("overwrite").parquet(f"{root}/counters/batch={number:08d}"))
 
     count(spark.createDataFrame([], DELTA), -1)  # a table without files has no micro-batch
-    run_available(deltas(stream, labels).writeStream.foreachBatch(count).option("checkpointLocation", f"{root}/checkpoint"))
+    entries = max(1, table.count() // TEXTS_PER_ENTRY)
+    run_available(deltas(stream, labels, entries).writeStream.foreachBatch(count).option("checkpointLocation", f"{root}/checkpoint"))
     return (spark.read.schema(DELTA).parquet(f"{root}/counters").groupBy(*COUNTER)
             .agg(F.sum("delta").alias("n")).filter("n <> 0"))
 

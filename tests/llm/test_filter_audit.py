@@ -82,22 +82,13 @@ def test_empty_table(spark):
     check(spark, [], [], 1, 1)
 
 
-def test_retractions_are_counted(spark):
+def test_retractions_are_counted():
     """The state of a text gives back what it counted before."""
-    class State:
-        exists, get = False, None
-
-        def update(self, v):
-            self.exists, self.get = True, v
-
-    import pandas as pd
-    state = State()
-
-    def step(*rows):
-        pdf = pd.DataFrame(rows, columns=["doc_id", *filter_audit.COUNTER, "n"])
-        return [tuple(r) for r in next(filter_audit._update(None, [pdf], state)).itertuples(index=False)]
-
-    assert step(("7", "en", 1, True, False, 2)) == [("en", 1, True, False, 2)]
-    assert step(("9", "fr", 1, False, False, 1)) == [("fr", 17, False, False, 1)]
-    assert step(("3", "de", 1, False, True, 1)) == [("en", 1, True, False, -2), ("en", 17, True, False, 2), ("de", 1, False, True, 1)]
-    assert state.get[0] == 3
+    low, held, out = filter_audit.retract(None, [], [(7, "en", 1, True, False, 2)])
+    assert out == [("en", 1, True, False, 2)]
+    low, held, out = filter_audit.retract(low, held, [(9, "fr", 1, False, False, 1), (7, "en", 1, True, False, 1), (None, "en", 1, False, False, 4)])
+    assert out == [("fr", 17, False, False, 1), ("en", 1, True, False, 1), ("en", 1, False, False, 4)]
+    assert (low, held) == (7, [["en", 1, True, False, 3]])
+    low, held, out = filter_audit.retract(low, held, [(3, "de", 1, False, True, 1)])
+    assert out == [("en", 1, True, False, -3), ("en", 17, True, False, 3), ("de", 1, False, True, 1)]
+    assert (low, held) == (3, [["de", 1, False, True, 1]])
