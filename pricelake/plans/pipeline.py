@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.operators.cdc import current
+from pricelake.operators.keymap import KeyMap
 from pricelake.plans import gold, silver
 from pricelake.plans.params import calendar_from_dates
 from pricelake.session import ensure_checkpoint_dir
@@ -65,14 +66,17 @@ class Tables:
                  **options):
         """``sf_dir``: derive the feeds from the driver tables, or ``bronze``:
         the paths of given bronze tables of A and B.  ``keys``: folder with the
-        dimensions of earlier runs, whose ids stay (a run that is materialised
-        adds its own).  ``calendar``: scrape days to weeks (default: all days).
+        ids of earlier runs, which stay (a run adds its new keys): the brand and
+        category dimensions, and key maps of canonical products, store products
+        and price observations; such a run has to be materialised.  ``calendar``: scrape days to weeks (default: all days).
         ``options``: ``grain`` (D3), ``lookup`` (D7), ``keep_unblocked``
         (D8), ``b_match`` (D12) -- defaults keep the reference's results."""
         self.bronze = bronze
         self.keys = keys.rstrip("/") if keys else None
         self._calendar = calendar
         self.options = {"grain": "sku", "lookup": "name", "keep_unblocked": False, "b_match": "sku", **options}
+        if keys and not materialize:
+            raise ValueError("ids are kept over runs by materialised tables only")
         self.spark = spark
         self.sf_dir = sf_dir
         self.materialize = materialize
@@ -103,6 +107,9 @@ class Tables:
         df.write.parquet(path)
         return self.spark.read.parquet(path)
 
+    def _ids(self, name: str) -> KeyMap | None:
+        return silver.key_map(self.spark, self.keys, name) if self.keys else None
+
     def _excluded(self, df: DataFrame) -> DataFrame:
         return feeds.exclude_sources(df, feeds.excluded_paths_from_conf(self.spark))
 
@@ -156,7 +163,7 @@ class Tables:
     @_table
     def canonical_a(self):
         return silver.canonical_a(self.cur_a, self.dim_brand, self.dim_category,
-                                  grain=self.options["grain"], lookup=self.options["lookup"])
+                                  grain=self.options["grain"], lookup=self.options["lookup"], ids=self._ids("canonical"))
 
     @_table
     def match_b(self):
@@ -165,11 +172,11 @@ class Tables:
 
     @_table
     def canonical(self):
-        return silver.canonical(self.canonical_a, self.match_b)
+        return silver.canonical(self.canonical_a, self.match_b, self._ids("canonical"))
 
     @_table
     def store_product(self):
-        return silver.store_product(self.cur_a, self.canonical, self.match_b)
+        return silver.store_product(self.cur_a, self.canonical, self.match_b, self._ids("store_product"))
 
     # prices ---------------------------------------------------------------
     @_table
@@ -178,7 +185,8 @@ class Tables:
 
     @_table
     def price_observation(self):
-        return silver.price_observation_from(self.bronze_a, self.bronze_b, self.store_product)
+        return silver.price_observation_from(self.bronze_a, self.bronze_b, self.store_product,
+                                             ids=self._ids("price_observation"))
 
     # gold -----------------------------------------------------------------
     @_table

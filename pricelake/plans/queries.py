@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pricelake import STORE_A, STORE_B
 from pricelake.functions.text import parse_pack
 from pricelake.operators.fuzzy import candidate_pairs, pair_scores
+from pricelake.operators.keymap import KeyMap
 from pricelake.operators.keys import assign_keys, dense_ids
 from pricelake.operators.order import asc, keep_one
 from pricelake.operators.quality import quality_gate, quality_report
@@ -22,6 +23,7 @@ from pricelake.plans import gold, silver
 from pricelake.plans.params import (CATEGORY_MAP_A, CATEGORY_MAP_B, PRICE_RULES, STAGE_A_RULES,
                                     STAGE_B_RULES, map_column)
 from pricelake.plans.pipeline import tables
+from pricelake.session import scratch
 from pricelake.sources.feeds import exclude_sources
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,6 +156,22 @@ def q_incremental_keys(spark, d):
     return assign_keys(allk, ["brand_key"], "brand_id", [asc("brand_key")], existing=existing)
 
 
+# Three refreshes of the price feed: all rows up to a batch time, then all.
+REFRESHES = ["1994-01-01 00:00:00", "1996-01-01 00:00:00", None]
+
+
+def q_persistent_keys(spark, d):
+    """Ids of (store, SKU, scrape time) over three refreshes of a growing feed:
+    what an earlier refresh numbered keeps its id."""
+    key = ["store_id", "store_sku", "scrape_timestamp"]
+    rows = silver._priced(_price_rows(tables(spark, d))).select(*key, "batch_ts")
+    ids = KeyMap(spark, scratch(spark, "keymap"), [rows.schema[c] for c in key], "key_id")
+    for until in REFRESHES:
+        seen = rows.where(F.col("batch_ts") < F.lit(until).cast("timestamp_ntz")) if until else rows
+        out = ids.assign(seen.select(*key).distinct(), [asc(c) for c in key])
+    return out
+
+
 def q_dim_lookup(spark, d):
     t = tables(spark, d)
     return silver.dim_lookup(t.cur_a, t.dim_brand, t.dim_category).select("store_sku", "brand_name", "brand_id",
@@ -289,6 +307,7 @@ QUERIES: dict[str, Query] = {
     "scd2_current": q_scd2_current,
     "dense_ids": q_dense_ids,
     "incremental_keys": q_incremental_keys,
+    "persistent_keys": q_persistent_keys,
     "dim_lookup": q_dim_lookup,
     "dim_brand": q_dim_brand,
     "dim_category": q_dim_category,

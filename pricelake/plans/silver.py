@@ -18,7 +18,8 @@ from pricelake.functions.text import normalize_name, parse_pack, signature
 from pricelake.operators.cdc import END, START, current, scd1, scd2
 from pricelake.operators.fuzzy import best_match
 from pricelake.operators.joins import broadcast_if_small
-from pricelake.operators.keys import assign_keys, dense_ids
+from pricelake.operators.keymap import KeyMap
+from pricelake.operators.keys import assign_keys, dense_ids, prefix_sums
 from pricelake.operators.order import asc, desc, keep_one
 from pricelake.operators.quality import quality_gate
 from pricelake.plans.params import (CATEGORY_MAP_A, CATEGORY_MAP_B, FALLBACK_ID_START,
@@ -144,18 +145,38 @@ def dim_lookup(df: DataFrame, brands: DataFrame, categories: DataFrame, lookup:
     return out.join(broadcast_if_small(categories.select("category_name", "category_id")), "category_name", "left")
 
 
+# What identifies a row over runs, by table (K1): a canonical product is known
+# by the store and the SKU (or signature) that it was made from.
+NATURAL_KEYS = {
+    "canonical": ("canonical_product_id", "store_id int, product_key string"),
+    "store_product": ("store_product_id", "store_id int, store_sku string, canonical_product_id long"),
+    "price_observation": ("observation_id", "store_product_id long, scrape_timestamp timestamp_ntz")}
+
+
+def key_map(spark, folder: str, table: str) -> KeyMap:
+    """The ids of ``table`` kept below ``folder``."""
+    id_col, ddl = NATURAL_KEYS[table]
+    return KeyMap(spark, f"{folder}/{table}", T.StructType.fromDDL(ddl).fields, id_col)
+
+
 def canonical_a(cur_a: DataFrame, brands: DataFrame, categories: DataFrame, grain: str = "sku",
-                lookup: str = "name") -> DataFrame:
+                lookup: str = "name", ids: KeyMap | None = None) -> DataFrame:
     """M5: one canonical row per current A SKU, ids in (signature, sku) order.
 
     SCD2 leaves exactly one open version per (store_id, store_sku) and the
     store is constant, so the reference's two per-SKU de-dups are no-ops here.
-    ``grain="signature"`` (D3) keeps one row per signature (smallest SKU)."""
+    ``grain="signature"`` (D3) keeps one row per signature (smallest SKU).
+    With ``ids``, products of earlier runs keep their id."""
     s = dim_lookup(cur_a, brands, categories, lookup).withColumn("canonical_signature", signature())
     if grain == "signature":
         s = keep_one(s, ["canonical_signature"], [asc("store_sku")])
-    ids = dense_ids(s, [asc("canonical_signature"), asc("store_sku")], "canonical_product_id")
-    return ids.select(*CANONICAL_COLS, "store_sku")
+    order = [asc("canonical_signature"), asc("store_sku")]
+    if ids is not None:
+        key = F.col("canonical_signature" if grain == "signature" else "store_sku")
+        out = ids.assign(s.withColumn("product_key", key), order)
+    else:
+        out = dense_ids(s, order, "canonical_product_id")
+    return out.select(*CANONICAL_COLS, "store_sku")
 
 
 def block_filter(b_rows: DataFrame, canon_a: DataFrame) -> DataFrame:
@@ -205,17 +226,23 @@ def unmatched_b(matches: DataFrame) -> DataFrame:
                     "unit_size", "unit_uom", "canonical_signature", "store_sku", "ingestion_ts"))
 
 
-def canonical(canon_a: DataFrame, matches: DataFrame) -> DataFrame:
+def canonical(canon_a: DataFrame, matches: DataFrame, ids: KeyMap | None = None) -> DataFrame:
     """Canonical A plus unmatched B, numbered after A's largest id
-    (or FALLBACK_ID_START when A has none)."""
-    top = canon_a.agg(F.max("canonical_product_id")).scalar()
-    start = F.coalesce(F.nullif(top, F.lit(0)), F.lit(FALLBACK_ID_START))
+    (or FALLBACK_ID_START when A has none).  With ``ids``, products of earlier
+    runs keep their id and new ones come after the largest of all."""
     b = unmatched_b(matches)
-    b = dense_ids(b, [asc("canonical_signature"), asc("store_sku")], "canonical_product_id", start)
+    order = [asc("canonical_signature"), asc("store_sku")]
+    if ids is not None:
+        keyed = b.withColumns({"store_id": F.lit(STORE_B).cast("int"), "product_key": F.col("store_sku")})
+        b = ids.assign(keyed, order, FALLBACK_ID_START)
+    else:
+        top = canon_a.agg(F.max("canonical_product_id")).scalar()
+        start = F.coalesce(F.nullif(top, F.lit(0)), F.lit(FALLBACK_ID_START))
+        b = dense_ids(b, order, "canonical_product_id", start)
     return canon_a.select(*CANONICAL_COLS).unionByName(b.select(*CANONICAL_COLS))
 
 
-def store_product(cur_a: DataFrame, canon: DataFrame, matches: DataFrame) -> DataFrame:
+def store_product(cur_a: DataFrame, canon: DataFrame, matches: DataFrame, ids: KeyMap | None = None) -> DataFrame:
     """Bridge.  A SKUs join canonical rows by name (every canonical row
     of that name), B SKUs come from their match; ids in (store, sku, id)
     order.  Blank names say nothing about the product and are not bridged to
@@ -226,7 +253,8 @@ def store_product(cur_a: DataFrame, canon: DataFrame, matches: DataFrame) -> Dat
          .withColumn("match_status", F.lit("bootstrap"))
          .select(*BRIDGE_COLS))
     both = a.unionByName(matched_b(matches))
-    out = dense_ids(both, [asc("store_id"), asc("store_sku"), asc("canonical_product_id")], "store_product_id")
+    order = [asc("store_id"), asc("store_sku"), asc("canonical_product_id")]
+    out = dense_ids(both, order, "store_product_id") if ids is None else ids.assign(both, order)
     return out.select(*STORE_PRODUCT_COLS)
 
 
@@ -303,14 +331,29 @@ def price_stage(raw_a: DataFrame, raw_b: DataFrame, sp: DataFrame, rules=PRICE_R
     return _bridge(_deduped(raw_a, raw_b, rules), sp)
 
 
-def price_observation_from(raw_a: DataFrame, raw_b: DataFrame, sp: DataFrame, rules=PRICE_RULES) -> DataFrame:
+def price_observation_from(raw_a: DataFrame, raw_b: DataFrame, sp: DataFrame, rules=PRICE_RULES,
+                           ids: KeyMap | None = None) -> DataFrame:
     """SCD1 per (store_product_id, scrape_timestamp), sequence batch_ts,
     with a surrogate observation_id in key order.  The upsert also runs
-    per SKU before the bridge fan-out (same argument as ``_deduped``)."""
-    rows = _deduped(raw_a, raw_b, rules)
-    last = scd1(rows, ["store_id", "store_sku", "scrape_timestamp"], "batch_ts", tie=[asc("raw_hash")])
-    out = dense_ids(_bridge(last, sp), [asc("store_product_id"), asc("scrape_timestamp")], "observation_id")
-    return out.select("observation_id", *PRICE_COLS)
+    per SKU before the bridge fan-out (same argument as ``_deduped``).
+
+    The numbers are found before the fan-out too: a store product has the rows
+    of its SKU, so its observations follow on the row counts of the store
+    products before it, in the order of the SKU's scrape times.  Only the keys
+    of the unbridged rows are ranged and pinned.  With ``ids``, observations of
+    earlier runs keep their id."""
+    sku, key = ["store_id", "store_sku"], ["store_id", "store_sku", "scrape_timestamp"]
+    last = scd1(_deduped(raw_a, raw_b, rules), key, "batch_ts", tie=[asc("raw_hash")])
+    if ids is not None:
+        out = ids.assign(_bridge(last, sp), [asc("store_product_id"), asc("scrape_timestamp")])
+        return out.select("observation_id", *PRICE_COLS)
+    places = dense_ids(last.select(*key), [asc(c) for c in key], "_place")
+    per_sku = places.groupBy(*sku).agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    bridge = sp.select("store_product_id", *sku, "canonical_product_id").join(per_sku, sku)
+    bridge = prefix_sums(bridge, [asc("store_product_id")], "_rows", "_before")
+    number = F.col("_before") + F.col("_place") - F.col("_first") + F.lit(1)
+    return (last.join(places, key).join(bridge, sku).withColumn("observation_id", number)
+            .select("observation_id", *PRICE_COLS))
 
 
 def price_observation(stage: DataFrame) -> DataFrame:

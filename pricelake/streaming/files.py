@@ -8,21 +8,14 @@ All scratch folders live under the cluster's shared ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import csv
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricelake.session import ensure_checkpoint_dir
 from pricelake.sources import feeds
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint directory."""
-    return ensure_checkpoint_dir(spark).rstrip("/") + f"/{name}-{uuid.uuid4().hex}"
-
-
 def land(df: DataFrame, path: str, files: int, by, fmt: str = "csv", mode: str = "overwrite") -> None:
     """Write ``df`` as ``files`` landing files, rows spread by the column
     expression ``by`` (e.g. the batch day), like a scraper dropping files."""
