@@ -1,15 +1,17 @@
 """Row-quality gate (expect-or-drop) and its per-rule report.
 
 A rule is ``(name, SQL condition)``.  A row passes when every condition is
-TRUE; NULL counts as a failure.  ``quality_report`` counts failures per
-rule in one aggregate pass (partial aggregation, one row out).
+TRUE; NULL counts as a failure.  ``write_gated`` writes the rows that pass and
+counts failures per rule in the same pass, by an ``Observation`` on the rows
+before the gate; ``quality_report`` counts them for a table that is not written
+(one aggregate pass, partial aggregation, one row out).
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -23,13 +25,31 @@ def quality_gate(df: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     return df.where(reduce(lambda a, b: a & b, [_ok(c) for _, c in rules]))
 
 
+def _counts(rules: list[tuple[str, str]]) -> list[Column]:
+    aggs = [F.count(F.lit(1)).alias("_total")]
+    return aggs + [F.coalesce(F.sum(F.when(_ok(c), 0).otherwise(1)), F.lit(0)).cast("long").alias(f"_r{i}")
+                   for i, (_, c) in enumerate(rules)]
+
+
+REPORT = "rule string, failed long, total long"
+
+
+def write_gated(df: DataFrame, rules: list[tuple[str, str]], path: str) -> tuple[DataFrame, DataFrame]:
+    """Write the rows that pass; returns them read back, and the report
+    (rule, failed, total) of the rows written and dropped.  The gate and the
+    counts run inside the tasks that write, so no row is read twice."""
+    spark, seen = df.sparkSession, Observation()
+    quality_gate(df.observe(seen, *_counts(rules)), rules).write.mode("overwrite").parquet(path)
+    got = seen.get
+    report = [(name, int(got[f"_r{i}"]), int(got["_total"])) for i, (name, _) in enumerate(rules)]
+    return spark.read.schema(df.schema).parquet(path), spark.createDataFrame(report, REPORT)
+
+
 def quality_report(df: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
     """One row per rule: (rule, failed, total), total = rows checked."""
-    aggs = [F.count(F.lit(1)).alias("_total")]
-    aggs += [F.sum(F.when(_ok(c), 0).otherwise(1)).cast("long").alias(f"_r{i}") for i, (_, c) in enumerate(rules)]
-    one = df.agg(*aggs)
+    one = df.agg(*_counts(rules))
     stack = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("rule"), F.coalesce(F.col(f"_r{i}"), F.lit(0)).cast("long").alias("failed"))
+        F.struct(F.lit(name).alias("rule"), F.col(f"_r{i}").alias("failed"))
         for i, (name, _) in enumerate(rules)]))
     return one.select(stack.alias("_s"), F.col("_total").cast("long").alias("total")).select(
         "_s.rule", "_s.failed", "total")

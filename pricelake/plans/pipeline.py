@@ -12,16 +12,16 @@ from __future__ import annotations
 
 import functools
 import time
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.operators.cdc import current
 from pricelake.operators.keymap import KeyMap
+from pricelake.operators.quality import quality_gate, write_gated
 from pricelake.plans import gold, silver
-from pricelake.plans.params import calendar_from_dates
-from pricelake.session import ensure_checkpoint_dir
+from pricelake.plans.params import STAGE_A_RULES, STAGE_B_RULES, calendar_from_dates
+from pricelake.session import scratch
 from pricelake.sources import feeds
 
 
@@ -81,17 +81,29 @@ class Tables:
         self.sf_dir = sf_dir
         self.materialize = materialize
         self._memo: dict[str, DataFrame] = {}
+        self.quality: dict[str, DataFrame] = {}  # reports (rule, failed, total) of the gated tables written
         self.timings: dict[str, float] = {}
         self._child = 0.0
         self._root = None
 
     def _write(self, name: str, df: DataFrame) -> DataFrame:
-        if self._root is None:
-            self._root = ensure_checkpoint_dir(self.spark).rstrip("/") + f"/tables-{uuid.uuid4().hex}"
-        path = f"{self._root}/{name}"
+        path = self._folder(name)
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
+    def _gated(self, name: str, df: DataFrame, rules) -> DataFrame:
+        """A staged table behind its gate; a materialised one leaves its counts
+        in ``quality`` as it is written."""
+        if not self.materialize:
+            return quality_gate(df, rules)
+        out, self.quality[name] = write_gated(df, rules, self._folder(name))
+        return out
+
+    def _folder(self, name: str) -> str:
+        if self._root is None:
+            self._root = scratch(self.spark, "tables")
+        return f"{self._root}/{name}"
+
     def _known(self, name: str) -> DataFrame | None:
         """The newest dimension of that name in the key folder."""
         runs = list_folders(self.spark, f"{self.keys}/{name}") if self.keys else []
@@ -129,11 +141,11 @@ class Tables:
     # stage + history ------------------------------------------------------
     @_table
     def stage_a(self):
-        return silver.stage_a(self.bronze_a)
+        return self._gated("stage_a", silver.stage_a(self.bronze_a, rules=[]), STAGE_A_RULES)
 
     @_table
     def stage_b(self):
-        return silver.stage_b(self.bronze_b)
+        return self._gated("stage_b", silver.stage_b(self.bronze_b, rules=[]), STAGE_B_RULES)
 
     @_table
     def hist_a(self):

@@ -119,3 +119,15 @@ def test_best_match_equals_brute_force(spark):
         if best is not None:
             want[(blk, q)] = (min(c for b, n, c in cands if b == blk and n == best[1]), best[0])
     assert got == want
+
+
+def test_gated_write_counts_in_the_same_pass(spark, tmp_path):
+    from pricelake.operators.quality import quality_gate, quality_report, write_gated
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (-1, None), (5, "c")], "x int, s string").repartition(3)
+    rules = [("positive", "x > 0"), ("named", "s IS NOT NULL")]
+    out, report = write_gated(df, rules, f"file://{tmp_path}/t")
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, quality_gate(df, rules).collect())) == [(1, "a"), (5, "c")]
+    want = {("positive", 2, 4), ("named", 1, 4)}
+    assert {tuple(r) for r in report.collect()} == want == {tuple(r) for r in quality_report(df, rules).collect()}
+    none, empty = write_gated(df.where("false"), rules, f"file://{tmp_path}/e")
+    assert none.count() == 0 and {tuple(r) for r in empty.collect()} == {("positive", 0, 0), ("named", 0, 0)}

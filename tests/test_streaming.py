@@ -13,7 +13,7 @@ from tests.conftest import SF_SMALL
 from tools.oracle_check import digest
 
 
-@pytest.mark.parametrize("stream_key,batch_key", [("stream_scd2", "scd2_a"), ("stream_scd1", None)])
+@pytest.mark.parametrize("stream_key,batch_key", [("stream_scd2", "scd2_a"), ("stream_scd2_b", "scd2_b"), ("stream_scd1", None)])
 def test_stream_equals_batch(spark, stream_key, batch_key):
     q = E.queries()
     s = q[stream_key](spark, SF_SMALL)
