@@ -37,6 +37,24 @@ def test_dedup_of_the_price_stream(spark):
     assert set(got) == {tuple(r) for r in rows.select(*keys).collect()}
 
 
+def test_late_rows_are_kept_aside(spark, tmp_path):
+    """A row weeks behind the watermark is not in the output but in the side
+    table; late repetitions of a known key are in neither twice."""
+    import datetime as dt
+
+    from pricelake.streaming.jobs import dedup_within
+    day = lambda n: dt.datetime(2025, 1, 1) + dt.timedelta(days=n)
+    files_ = [[("a", day(0), "x"), ("b", day(1), "x")], [("c", day(90), "x"), ("c", day(90), "y")], [("d", day(91), "x")],
+              [("late", day(2), "x"), ("late", day(3), "y"), (None, day(2), "n"), ("e", day(92), "x"), ("d", day(91), "x")]]
+    schema = T.StructType.fromDDL("k string, t timestamp_ntz, v string")
+    for rows in files_:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/in")
+    out, late = dedup_within(spark, f"file://{tmp_path}/in", schema, ["k"], "t", "10 days", f"file://{tmp_path}", max_files=1)
+    assert sorted(r[0] for r in out.collect()) == ["a", "b", "c", "d", "e"]
+    assert {tuple(r) for r in late.collect()} == {("late", day(2), "x"), ("late", day(3), "y"), (None, day(2), "n")}
+    assert late.count() == 3
+
+
 def _csv(folder, name, header, rows):
     os.makedirs(folder, exist_ok=True)
     with open(f"{folder}/{name}.csv", "w") as f:
@@ -68,6 +86,35 @@ def test_landing_folders_to_bronze_and_on(spark, tmp_path):
         files.write_bronze(files.read_feed_a(spark, f"{root}/in", wide), f"{root}/bronze", f"{root}/ckpt")
 
 
+def test_columns_are_found_by_name(spark, tmp_path):
+    """A new column in the middle, columns in another order, absent columns, a
+    path with a blank; a header that comes later fails the stream."""
+    known = T.StructType.fromDDL("id string, price double, at timestamp_ntz, ok boolean")
+    folder, root = f"{tmp_path}/in/2025 x+y", f"file://{tmp_path}"
+    _csv(folder, "a", ["id", "price", "at", "ok"], [["1", "1.5", "2025-01-01 10:00:00", "true"], ["2", "bad", "", ""]])
+    _csv(folder, "b", ["id", "price", "at", "ok"], [["3", "2", "2025-01-01 10:00:00.5", "false"]])
+    _csv(folder, "c", ["id", "extra", "price", "at", "ok"], [["4", "mid", "3.5", "2025-01-02 00:00:00", "true"]])
+    _csv(f"{tmp_path}/in/n", "d", ["price", "id"], [["9", "5"]])
+    wide = files.evolve_schema(spark, known, f"{root}/in")
+    assert wide.fieldNames() == ["id", "price", "at", "ok", "extra"]
+
+    def run():
+        stream = files.read_csv_by_name(spark, f"{root}/in", wide).drop("_file")
+        files.write_bronze(stream, f"{root}/bronze", f"{root}/ckpt")
+    run()
+    got = {r["id"]: (r["price"], str(r["at"]), r["ok"], r["extra"]) for r in spark.read.parquet(f"{root}/bronze").collect()}
+    assert got == {"1": (1.5, "2025-01-01 10:00:00", True, None), "2": (None, "None", None, None),
+                   "3": (2.0, "2025-01-01 10:00:00.500000", False, None), "4": (3.5, "2025-01-02 00:00:00", True, "mid"),
+                   "5": (9.0, "None", None, None)}
+    _csv(folder, "e", ["id", "price", "at", "ok"], [["6", "1", "", ""]])
+    run()  # the same checkpoint reads new files only
+    assert spark.read.parquet(f"{root}/bronze").count() == 6
+    stream = files.read_csv_by_name(spark, f"{root}/in", wide).drop("_file")
+    _csv(folder, "late", ["ok", "price", "id"], [["true", "1", "7"]])
+    with pytest.raises(Exception, match="unknown header"):
+        files.write_bronze(stream, f"{root}/bronze", f"{root}/ckpt")
+
+
 def test_tables_over_given_bronze_keep_their_ids(spark, tmp_path):
     base = Tables(spark, SF_SMALL, materialize=True)
     paths = []
