@@ -16,18 +16,20 @@ Token-group matrix.
    in a fixed-size table).  Two sets of the wanted overlap share a shingle
    among their first ``n - ceil(0.75 n) + 1``, whatever the order.  Shingles
    that only one component holds there are dropped first.  The matrix has a
-   row for each other shingle with the groups that hold it; a class and a group
-   of another component that share one are a candidate, if the group's sizes
+   row for each other shingle with the components that hold it; a class and
+   another component that share one are a candidate, if the component's sizes
    and places of the shingle still allow the overlap.  Classes of one shingle
    are salted, so one that very many hold is not the work of one task.
-3. *Bound and open.*  A class carries a bit set of its shingles' buckets, four
-   buckets a shingle; a bucket that only one of two sets has is a shingle that
-   they do not share, which bounds their overlap from above.  Candidate groups
-   without a member that can reach the overlap are dropped before any set is
-   read again (a group's queries are salted).  For the rest the overlap of the query set with the group's
-   token union is a second bound; only groups that reach the query's needed
-   overlap are opened, and their members compared until one links (more links
-   inside a component change nothing).
+3. *Bound and open.*  A candidate asks the component's groups whose sizes fit.
+   A class carries a bit set of its shingles' buckets, four buckets a shingle,
+   and a group their union: a bucket that a group's union lacks is a shingle
+   that no member shares with the query.  Groups whose union leaves too little
+   overlap are passed by; in the others the query is bounded by all members'
+   bit sets at once, before any set is read again (a group's queries are
+   salted).  For the rest the overlap of the query set with the group's token
+   union is the last bound; only groups that reach the query's needed overlap
+   are opened, and their members compared until one links (more links inside a
+   component change nothing).
 
 Every link between different components is found, so the components are
 exact.  No group is cut: shingles shared by very many documents come last in
@@ -360,31 +362,81 @@ def _entries(prefixes: DataFrame, shared: DataFrame) -> DataFrame:
 
 
 def _candidates(entries: DataFrame) -> DataFrame:
-    """(q, comp, gid): classes and other components that share a shingle, where
-    sizes and places allow the overlap, with the component's group that shares
-    most.  A token's entries are first reduced to its groups; each class meets
-    the groups of other components.  The larger set is the query."""
-    groups = (entries.groupBy("token", "comp", "gid")
-              .agg(F.first("salts").alias("salts"), F.min(F.struct("n", "cid")).alias("low"), F.max("n").alias("high"),
-                   F.max(F.col("n") - F.col("place")).alias("room"))
-              .select("token", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-                      F.col("comp").alias("other"), F.col("gid").alias("g"), "low", "high", "room"))
+    """(q, n_q, comp): classes and other components that share a shingle, where
+    sizes and places allow the overlap.  A token's entries are first reduced to
+    its components, so a large family is one row for each token, and each class
+    meets the other components.  The larger set is the query."""
+    held = (entries.groupBy("token", "comp")
+            .agg(F.first("salts").alias("salts"), F.min(F.struct("n", "cid")).alias("low"), F.max("n").alias("high"),
+                 F.max(F.col("n") - F.col("place")).alias("room"))
+            .select("token", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+                    F.col("comp").alias("other"), "low", "high", "room"))
     # the smallest partner that the sizes allow asks for the least overlap
     least = F.greatest(F.col("low.n"), F.ceil(F.col("n") * NUM / F.lit(DEN)))
     need = F.ceil((F.col("n") + least) * NUM / F.lit(NUM + DEN))
     fits = ((F.col("comp") != F.col("other")) & (F.col("low") < F.struct("n", "cid"))
             & (F.col("high") * DEN >= F.col("n") * NUM) & (F.least("room", F.col("n") - F.col("place")) >= need))
-    return (entries.drop("salts").join(groups, ["token", "salt"]).filter(fits)
-            .groupBy(F.col("cid").alias("q"), F.col("other").alias("comp"), F.col("g").alias("gid"))
-            .agg(F.count(F.lit(1)).alias("m")).groupBy("q", "comp").agg(F.max_by("gid", "m").alias("gid")))
+    return (entries.drop("salts").join(held, ["token", "salt"]).filter(fits)
+            .select(F.col("cid").alias("q"), F.col("n").alias("n_q"), F.col("other").alias("comp")).distinct())
+
+
+def _groups_asked(candidates: DataFrame, classes: DataFrame, grouped: DataFrame) -> DataFrame:
+    """(q, comp, gid): each candidate with the component's groups whose sizes fit."""
+    groups = (grouped.join(classes.select("cid", "n"), "cid").groupBy("comp", "gid")
+              .agg(F.min("n").alias("least"), F.max("n").alias("most")))
+    fits = (F.col("least") <= F.col("n_q")) & (F.col("most") * DEN >= F.col("n_q") * NUM)
+    return candidates.join(groups, "comp").filter(fits).select("q", "comp", "gid")
+
+
+def _folded(bits: np.ndarray, length: int) -> np.ndarray:
+    """Bit sets (rows of words) folded to ``length`` words by or-ing halves."""
+    while bits.shape[-1] > length:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] | bits[..., half:]
+    return bits
+
+
+class GroupBits:
+    """The bit sets of a group's members, by length, and their union."""
+
+    def __init__(self, sizes: list[int], blobs: list[bytes]):
+        by_length: dict[int, list[int]] = {}
+        for i, blob in enumerate(blobs):
+            by_length.setdefault(len(blob) // 8, []).append(i)
+        self.sizes = np.array(sizes, dtype=np.int64)
+        self.tables = {m: (self.sizes[at], np.frombuffer(b"".join(blobs[i] for i in at), dtype=np.uint64).reshape(len(at), m))
+                       for m, at in by_length.items()}
+        shortest = min(self.tables)
+        self.union = np.bitwise_or.reduce([np.bitwise_or.reduce(_folded(t, shortest)) for _, t in self.tables.values()])
+
+    def may_link(self, n: int, blob: bytes) -> bool:
+        """Whether a set may link with a member: bound by the union, then by
+        all members at once."""
+        own = np.frombuffer(blob, dtype=np.uint64)
+        length = min(len(own), len(self.union))
+        least = max(int(self.sizes.min()), -(-NUM * n // DEN))
+        outside = int(np.bitwise_count(_folded(own, length) & ~_folded(self.union, length)).sum())
+        if (NUM + DEN) * (n - outside) < NUM * (n + least):
+            return False
+        for m, (sizes, table) in self.tables.items():
+            fits = (DEN * np.minimum(n, sizes) >= NUM * np.maximum(n, sizes)).nonzero()[0]
+            if not len(fits):
+                continue
+            length = min(len(own), m)
+            mine, theirs = _folded(own, length), _folded(table[fits], length)
+            both = np.minimum(n - np.bitwise_count(mine & ~theirs).sum(axis=1, dtype=np.int64),
+                              sizes[fits] - np.bitwise_count(theirs & ~mine).sum(axis=1, dtype=np.int64))
+            if ((NUM + DEN) * both >= NUM * (n + sizes[fits])).any():
+                return True
+        return False
 
 
 def _bound(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
     """The queries (q, comp, gid) of a group with a member that they may link with."""
     if queries.empty or members.empty:
         return pd.DataFrame({"q": [], "comp": [], "gid": []})
-    own = list(zip(members["n"], members["bits"]))
-    ok = [any(may_link(n, bits, *m) for m in own) for n, bits in zip(queries["n_q"], queries["bits_q"])]
+    group = GroupBits(members["n"].tolist(), members["bits"].tolist())
+    ok = [group.may_link(*x) for x in zip(queries["n_q"].tolist(), queries["bits_q"].tolist())]
     return queries.loc[ok, ["q", "comp", "gid"]]
 
 
@@ -451,14 +503,9 @@ def jaccard_links(docs: DataFrame) -> DataFrame:
     prefixes = materialize(_prefixes(docs, _slot_counts(slots)).dropDuplicates(["cid"])
                            .join(grouped.select("cid", "comp", "gid"), "cid"))
     shared = materialize(_shared_tokens(prefixes, parts))
-    candidates = materialize(_candidates(materialize(_entries(prefixes, shared))))
-    # bound and open: the group that shares most, then, where it has no link, the component's other groups
-    links = _links(docs, candidates, classes, grouped)
-    groups = grouped.select("comp", F.col("gid").alias("other")).distinct()
-    rest = materialize(candidates.join(links, ["q", "comp"], "left_anti").join(groups, "comp")
-                       .filter("other <> gid").select("q", "comp", F.col("other").alias("gid")))
-    if rest.limit(1).count():
-        links = links.union(_links(docs, rest, classes, grouped))
+    candidates = _candidates(materialize(_entries(prefixes, shared)))
+    # bound and open
+    links = _links(docs, materialize(_groups_asked(candidates, classes, grouped)), classes, grouped)
     # the links join first components, few enough to contract before the last step
     own = grouped.select(F.col("cid").alias("q"), F.col("comp").alias("a"))
     roots = components(links.join(own, "q").select("a", F.col("comp").alias("b")))

@@ -139,3 +139,17 @@ def test_hot_passage_of_many_components(spark, monkeypatch):
     rows = families(5, 4, 24)
     got = jj.jaccard_components(frame(spark, rows)).collect()
     assert sorted(str(tuple(r)[:3]) for r in got) == brute(rows)
+
+
+def test_group_bounds_equal_the_bounds_of_its_members():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**63, 400, dtype=np.uint64)
+    make = lambda k, keep: np.unique(np.concatenate([base[:keep], rng.integers(0, 2**63, k, dtype=np.uint64)]))
+    for _ in range(60):
+        members = [make(int(rng.integers(0, 60)), int(rng.integers(20, 400))) for _ in range(int(rng.integers(1, 12)))]
+        group = jj.GroupBits([len(m) for m in members], [jj.bucket_bits(m) for m in members])
+        q = make(int(rng.integers(0, 60)), int(rng.integers(20, 400)))
+        want = any(jj.may_link(len(q), jj.bucket_bits(q), len(m), jj.bucket_bits(m)) for m in members if len(m) <= len(q))
+        got = group.may_link(len(q), jj.bucket_bits(q))
+        assert got or not want
+        assert got <= any(jj.may_link(len(q), jj.bucket_bits(q), len(m), jj.bucket_bits(m)) for m in members)
