@@ -8,32 +8,32 @@ doc_id.  Equal sets are one **class**; all work is on classes.
 Token-group matrix.
 
 1. *Groups.*  Classes that share one of ``SIGNATURES`` min-hashes are compared
-   with the group's leader; confirmed links give a first set of components,
-   each cut into groups of about ``GROUP`` classes.  A large family of near
-   copies becomes one component here, by a number of comparisons that is
-   linear in its size, not by comparing all pairs.
+   with their leader; confirmed links give a first set of components.  Linked or
+   not, the classes that share a min-hash are one family, cut into groups of
+   about ``GROUP``: a thousand copies around one text that are not 0.75-similar
+   to each other are a few groups.
 2. *Matrix.*  Sets are ordered rarest shingle first (counts of all documents
    in a fixed-size table).  Two sets of the wanted overlap share a shingle
    among their first ``n - ceil(0.75 n) + 1``, whatever the order.  Shingles
    that only one component holds there are dropped first.  The matrix has a
-   row for each other shingle with the components that hold it; a class and
-   another component that share one are a candidate, if the component's sizes
-   and places of the shingle still allow the overlap.  Classes of one shingle
-   are salted, so one that very many hold is not the work of one task.
-3. *Bound and open.*  A candidate asks the component's groups whose sizes fit.
+   row for each other shingle with the groups that hold it, and groups meet
+   groups: two that share a shingle are a candidate, if their sizes and the
+   shingle's places allow the overlap.  Groups of one shingle are salted, so
+   one that very many hold is not the work of one task.
+3. *Bound and open.*  The classes of one group of a candidate ask the other.
    A class carries a bit set of its shingles' buckets, four buckets a shingle,
    and a group their union: a bucket that a group's union lacks is a shingle
    that no member shares with the query.  Groups whose union leaves too little
    overlap are passed by; in the others the query is bounded by all members'
    bit sets at once, before any set is read again (a group's queries are
-   salted).  For the rest the overlap of the query set with the group's token
-   union is the last bound; only groups that reach the query's needed overlap
-   are opened, and their members compared until one links (more links inside a
-   component change nothing).
+   salted).  For the rest the overlap of the query set with the token union of
+   the members asked for is the last bound; only groups that reach the query's
+   needed overlap are opened, and the members compared, of each component until
+   one links (more links between two components change nothing).
 
 Every link between different components is found, so the components are
 exact.  No group is cut: shingles shared by very many documents come last in
-the order, and classes of one component are never candidates of each other.
+the order, and groups of one component are never candidates of each other.
 
 Shingles are 64-bit hashes and classes 64-bit hashes of the whole set.
 
@@ -207,13 +207,17 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- groups
-def _leader_pairs(classes: DataFrame) -> DataFrame:
+def _signature_groups(classes: DataFrame) -> DataFrame:
+    """(cid, n, k, sig, m): the min-hash groups of at least two classes."""
+    keys = classes.select("cid", "n", F.posexplode("sigs").alias("k", "sig"))
+    sizes = keys.groupBy("k", "sig").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
+    return materialize(keys.join(sizes, ["k", "sig"]))
+
+
+def _leader_pairs(shared: DataFrame) -> DataFrame:
     """(a, b): a class and the leader of a min-hash group it is in, where the
     sizes allow a link.  The leader is the member with the largest groups: the
     middle of a family shares its min-hashes with most of it."""
-    keys = classes.select("cid", "n", F.posexplode("sigs").alias("k", "sig"))
-    sizes = keys.groupBy("k", "sig").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
-    shared = materialize(keys.join(sizes, ["k", "sig"]))
     known = shared.groupBy("cid").agg(F.sum("m").alias("weight"))
     leaders = (shared.join(known, "cid").groupBy("k", "sig").agg(F.max(F.struct("weight", "cid", "n")).alias("lead"))
                .select("k", "sig", F.col("lead.cid").alias("b"), F.col("lead.n").alias("n_b")))
@@ -246,16 +250,17 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
 
 
-def _grouped(classes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(cid, th, comp, gid): first components, in groups of about GROUP."""
-    roots = components(edges)
-    sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    blocks = F.ceil(F.col("size") / F.lit(GROUP))
-    many = roots.join(sizes, "root").select(
-        F.col("v").alias("cid"), F.col("root").alias("comp"),
-        F.xxhash64("root", F.pmod(F.xxhash64("v"), blocks)).alias("gid"))
-    return (classes.select("cid", "th").join(many, "cid", "left")
-            .select("cid", "th", F.coalesce("comp", "cid").alias("comp"), F.coalesce("gid", "cid").alias("gid")))
+def _grouped(classes: DataFrame, shared: DataFrame, edges: DataFrame) -> DataFrame:
+    """(cid, th, n, comp, gid): first components, and groups of about GROUP
+    similar classes, linked or not: those that chose one min-hash (of each
+    class's the one that most classes have)."""
+    roots = components(edges).select(F.col("v").alias("cid"), F.col("root").alias("comp"))
+    chosen = (shared.groupBy("cid").agg(F.max(F.struct("m", "k", "sig")).alias("best"))
+              .select("cid", F.xxhash64("best.k", "best.sig").alias("key")))
+    sizes = chosen.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / F.lit(GROUP)).alias("blocks"))
+    placed = chosen.join(sizes, "key").select("cid", F.xxhash64("key", F.pmod(F.xxhash64("cid"), "blocks")).alias("gid"))
+    return (classes.select("cid", "th", "n").join(roots, "cid", "left").join(placed, "cid", "left")
+            .select("cid", "th", "n", F.coalesce("comp", "cid").alias("comp"), F.coalesce("gid", "cid").alias("gid")))
 
 
 # ---------------------------------------------------------------- matrix
@@ -362,30 +367,31 @@ def _entries(prefixes: DataFrame, shared: DataFrame) -> DataFrame:
 
 
 def _candidates(entries: DataFrame) -> DataFrame:
-    """(q, n_q, comp): classes and other components that share a shingle, where
-    sizes and places allow the overlap.  A token's entries are first reduced to
-    its components, so a large family is one row for each token, and each class
-    meets the other components.  The larger set is the query."""
-    held = (entries.groupBy("token", "comp")
-            .agg(F.first("salts").alias("salts"), F.min(F.struct("n", "cid")).alias("low"), F.max("n").alias("high"),
-                 F.max(F.col("n") - F.col("place")).alias("room"))
-            .select("token", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-                    F.col("comp").alias("other"), "low", "high", "room"))
-    # the smallest partner that the sizes allow asks for the least overlap
-    least = F.greatest(F.col("low.n"), F.ceil(F.col("n") * NUM / F.lit(DEN)))
-    need = F.ceil((F.col("n") + least) * NUM / F.lit(NUM + DEN))
-    fits = ((F.col("comp") != F.col("other")) & (F.col("low") < F.struct("n", "cid"))
-            & (F.col("high") * DEN >= F.col("n") * NUM) & (F.least("room", F.col("n") - F.col("place")) >= need))
-    return (entries.drop("salts").join(held, ["token", "salt"]).filter(fits)
-            .select(F.col("cid").alias("q"), F.col("n").alias("n_q"), F.col("other").alias("comp")).distinct())
-
-
-def _groups_asked(candidates: DataFrame, classes: DataFrame, grouped: DataFrame) -> DataFrame:
-    """(q, comp, gid): each candidate with the component's groups whose sizes fit."""
-    groups = (grouped.join(classes.select("cid", "n"), "cid").groupBy("comp", "gid")
-              .agg(F.min("n").alias("least"), F.max("n").alias("most")))
-    fits = (F.col("least") <= F.col("n_q")) & (F.col("most") * DEN >= F.col("n_q") * NUM)
-    return candidates.join(groups, "comp").filter(fits).select("q", "comp", "gid")
+    """(g, h): pairs of groups (a group with itself too) that hold classes of
+    different components with a common shingle, where sizes and places allow
+    the overlap.  A token's entries are first reduced to its groups, so a large
+    family is a few rows for each token, and groups meet groups."""
+    held = materialize(entries.groupBy("token", "gid").agg(
+        F.first("salts").alias("salts"), F.min("n").alias("least"), F.max("n").alias("most"),
+        F.max(F.col("n") - F.col("place")).alias("room"), F.min("comp").alias("low"), F.max("comp").alias("high")))
+    mine = held.withColumn("salt", F.pmod(F.xxhash64("gid"), "salts").cast("int")).drop("salts")
+    other = held.select("token", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.col("gid").alias("h"),
+                        *[F.col(c).alias(f"{c}_h") for c in ("least", "most", "room", "low", "high")])
+    need = F.ceil((F.col("least") + F.col("least_h")) * NUM / F.lit(NUM + DEN))  # of the smallest two
+    fits = ((F.col("gid") <= F.col("h")) & (F.least("low", "low_h") != F.greatest("high", "high_h"))
+            & (F.col("most") * DEN >= F.col("least_h") * NUM) & (F.col("most_h") * DEN >= F.col("least") * NUM)
+            & (F.least("room", "room_h") >= need))
+    return mine.join(other, ["token", "salt"]).filter(fits).select(F.col("gid").alias("g"), "h").distinct()
+
+
+def _asking(pairs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """(q, n_q, comp_q, gid, own): the classes of one group of each pair ask the
+    other, if its sizes fit; in their own group they ask the smaller classes."""
+    sizes = grouped.groupBy("gid").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    queries = grouped.select(F.col("cid").alias("q"), F.col("n").alias("n_q"), F.col("comp").alias("comp_q"), F.col("gid").alias("g"))
+    fits = (F.col("n_q") * DEN >= F.col("least") * NUM) & (F.col("most") * DEN >= F.col("n_q") * NUM)
+    return (pairs.join(sizes.withColumnRenamed("gid", "h"), "h").join(queries, "g").filter(fits)
+            .select("q", "n_q", "comp_q", F.col("h").alias("gid"), (F.col("g") == F.col("h")).alias("own")))
 
 
 def _folded(bits: np.ndarray, length: int) -> np.ndarray:
@@ -404,21 +410,23 @@ class GroupBits:
         for i, blob in enumerate(blobs):
             by_length.setdefault(len(blob) // 8, []).append(i)
         self.sizes = np.array(sizes, dtype=np.int64)
-        self.tables = {m: (self.sizes[at], np.frombuffer(b"".join(blobs[i] for i in at), dtype=np.uint64).reshape(len(at), m))
+        self.tables = {m: (np.array(at), np.frombuffer(b"".join(blobs[i] for i in at), dtype=np.uint64).reshape(len(at), m))
                        for m, at in by_length.items()}
         shortest = min(self.tables)
         self.union = np.bitwise_or.reduce([np.bitwise_or.reduce(_folded(t, shortest)) for _, t in self.tables.values()])
 
-    def may_link(self, n: int, blob: bytes) -> bool:
-        """Whether a set may link with a member: bound by the union, then by
+    def may_link(self, n: int, blob: bytes) -> np.ndarray:
+        """The members that a set may link with: bound by the union, then by
         all members at once."""
         own = np.frombuffer(blob, dtype=np.uint64)
         length = min(len(own), len(self.union))
         least = max(int(self.sizes.min()), -(-NUM * n // DEN))
         outside = int(np.bitwise_count(_folded(own, length) & ~_folded(self.union, length)).sum())
+        found = np.zeros(0, dtype=np.int64)
         if (NUM + DEN) * (n - outside) < NUM * (n + least):
-            return False
-        for m, (sizes, table) in self.tables.items():
+            return found
+        for m, (at, table) in self.tables.items():
+            sizes = self.sizes[at]
             fits = (DEN * np.minimum(n, sizes) >= NUM * np.maximum(n, sizes)).nonzero()[0]
             if not len(fits):
                 continue
@@ -426,32 +434,46 @@ class GroupBits:
             mine, theirs = _folded(own, length), _folded(table[fits], length)
             both = np.minimum(n - np.bitwise_count(mine & ~theirs).sum(axis=1, dtype=np.int64),
                               sizes[fits] - np.bitwise_count(theirs & ~mine).sum(axis=1, dtype=np.int64))
-            if ((NUM + DEN) * both >= NUM * (n + sizes[fits])).any():
-                return True
-        return False
+            found = np.append(found, at[fits[(NUM + DEN) * both >= NUM * (n + sizes[fits])]])
+        return found
 
 
 def _bound(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-    """The queries (q, comp, gid) of a group with a member that they may link with."""
+    """The queries (q, comp_q, gid) of a group with the members of other
+    components that they may link with."""
+    none = pd.DataFrame({"q": [], "comp_q": [], "gid": [], "hits": pd.Series([], dtype=object)})
     if queries.empty or members.empty:
-        return pd.DataFrame({"q": [], "comp": [], "gid": []})
+        return none
+    members = members.sort_values(["n", "cid"], ignore_index=True)
+    comp, cid = members["comp"].to_numpy(), members["cid"].to_numpy()
+    place = {c: i for i, c in enumerate(cid.tolist())}
     group = GroupBits(members["n"].tolist(), members["bits"].tolist())
-    ok = [group.may_link(*x) for x in zip(queries["n_q"].tolist(), queries["bits_q"].tolist())]
-    return queries.loc[ok, ["q", "comp", "gid"]]
+    hits = []
+    for q, n, c, own, bits in zip(*(queries[x].tolist() for x in ("q", "n_q", "comp_q", "own", "bits_q"))):
+        at = group.may_link(n, bits)
+        at = at[comp[at] != c]
+        hits.append(cid[at[at < place[q]] if own else at].tolist())
+    some = [len(h) > 0 for h in hits]
+    return queries.loc[some, ["q", "comp_q", "gid"]].assign(hits=[h for h in hits if len(h)]) if any(some) else none
 
 
 def _open(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-    """The queries (q, comp) that link with a member of a group: bound by the
-    token union, then the members until one links."""
+    """The (a, b) of a group: a query's component, and that of a member it
+    links with.  Bound by the token union of the members asked for, then they
+    are compared, of each component until one links."""
     if queries.empty or members.empty:
-        return pd.DataFrame({"q": [], "comp": []})
-    own = [np.frombuffer(s, dtype=np.uint64) for s in members["held"]]
-    union = np.unique(np.concatenate(own))
-    ok = []
-    for blob in queries["asked"]:
+        return pd.DataFrame({"a": [], "b": []})
+    held = {c: (b, np.frombuffer(s, dtype=np.uint64)) for c, b, s in zip(members["cid"], members["comp"], members["held"])}
+    union = np.unique(np.concatenate([s for _, s in held.values()]))
+    found = set()
+    for a, blob, hits in zip(queries["comp_q"].tolist(), queries["asked"], queries["hits"]):
         s = np.frombuffer(blob, dtype=np.uint64)
-        ok.append(DEN * _overlap(s, union) >= NUM * len(s) and any(similar(s, x) for x in own))
-    return queries.loc[ok, ["q", "comp"]]
+        if DEN * _overlap(s, union) < NUM * len(s):
+            continue
+        for b, x in (held[h] for h in hits):
+            if (a, b) not in found and similar(s, x):
+                found.add((a, b))
+    return pd.DataFrame(sorted(found), columns=["a", "b"])
 
 
 def _salted(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -463,24 +485,23 @@ def _salted(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _links(docs: DataFrame, pairs: DataFrame, classes: DataFrame, grouped: DataFrame) -> DataFrame:
-    """Of the candidates (q, comp, gid) the (q, comp) with a link into the group."""
-    members = classes.join(grouped.select("cid", "gid"), "cid")
-    pairs, salts = _salted(pairs)
-    held = members.join(salts, "gid").select("gid", "salt", "cid", "n", "bits")
-    asking = (pairs.join(classes.select(F.col("cid").alias("q"), F.col("n").alias("n_q"), F.col("bits").alias("bits_q")), "q")
-              .select("gid", "salt", "q", "comp", "n_q", "bits_q"))
+    """(a, b): the components that a pair of groups (g, h) links."""
+    asking, salts = _salted(materialize(_asking(pairs, grouped)))
+    held = grouped.join(salts, "gid").join(classes.select("cid", "bits"), "cid").select("gid", "salt", "cid", "n", "comp", "bits")
+    asking = (asking.join(classes.select(F.col("cid").alias("q"), F.col("bits").alias("bits_q")), "q")
+              .select("gid", "salt", "q", "n_q", "comp_q", "own", "bits_q"))
     left = materialize(asking.groupBy("gid", "salt").cogroup(held.groupBy("gid", "salt"))
-                       .applyInPandas(_bound, "q long, comp long, gid long"))
-    opened = grouped.join(left.select("gid").distinct(), "gid", "left_semi").select("cid", "th", "gid")
-    asked = grouped.join(left.select(F.col("q").alias("cid")).distinct(), "cid", "left_semi").select("cid", "th")
-    sets = materialize(sets_of(docs, opened.select("cid", "th").union(asked).distinct()))
+                       .applyInPandas(_bound, "q long, comp_q long, gid long, hits array<long>"))
+    wanted = left.select(F.col("q").alias("cid")).union(left.select(F.explode("hits").alias("cid"))).distinct()
+    sets = materialize(sets_of(docs, grouped.join(wanted, "cid", "left_semi").select("cid", "th")))
+    hit = materialize(left.select("gid", F.explode("hits").alias("cid")).distinct())
     left, salts = _salted(left)
     queries = (left.join(sets.select(F.col("cid").alias("q"), F.col("shingles").alias("asked")), "q")
-               .select("gid", "salt", "q", "comp", "asked"))
-    members = (opened.select("cid", "gid").join(salts, "gid")
-               .join(sets.select("cid", F.col("shingles").alias("held")), "cid").select("gid", "salt", "cid", "held"))
+               .select("gid", "salt", "q", "comp_q", "hits", "asked"))
+    members = (hit.join(salts, "gid").join(grouped.select("cid", "comp"), "cid")
+               .join(sets.select("cid", F.col("shingles").alias("held")), "cid").select("gid", "salt", "cid", "comp", "held"))
     return materialize(queries.groupBy("gid", "salt").cogroup(members.groupBy("gid", "salt"))
-                       .applyInPandas(_open, "q long, comp long").distinct())
+                       .applyInPandas(_open, "a long, b long").distinct())
 
 
 def jaccard_links(docs: DataFrame) -> DataFrame:
@@ -492,23 +513,21 @@ def jaccard_links(docs: DataFrame) -> DataFrame:
     classes = materialize(rows.filter("n > 0").groupBy("cid").agg(
         F.min("th").alias("th"), F.max("n").alias("n"), F.first("sigs").alias("sigs"), F.first("bits").alias("bits")))
     # groups
-    pairs = materialize(_possible(_leader_pairs(classes), classes))
+    shared = _signature_groups(classes)
+    pairs = materialize(_possible(_leader_pairs(shared), classes))
     ends = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
     sets = materialize(sets_of(docs, classes.join(ends, "cid", "left_semi").select("cid", "th")))
     edges = materialize(_linked(pairs, sets))
-    grouped = materialize(_grouped(classes, edges))
+    grouped = materialize(_grouped(classes, shared, edges))
     # matrix
     entries = classes.agg(F.sum(F.col("n") - F.ceil(F.col("n") * F.lit(NUM / DEN)) + 1)).first()[0] or 0
     parts = max(shuffle_partitions(spark), entries // ENTRIES_PER_PARTITION)
     prefixes = materialize(_prefixes(docs, _slot_counts(slots)).dropDuplicates(["cid"])
                            .join(grouped.select("cid", "comp", "gid"), "cid"))
-    shared = materialize(_shared_tokens(prefixes, parts))
-    candidates = _candidates(materialize(_entries(prefixes, shared)))
-    # bound and open
-    links = _links(docs, materialize(_groups_asked(candidates, classes, grouped)), classes, grouped)
-    # the links join first components, few enough to contract before the last step
-    own = grouped.select(F.col("cid").alias("q"), F.col("comp").alias("a"))
-    roots = components(links.join(own, "q").select("a", F.col("comp").alias("b")))
+    tokens = materialize(_shared_tokens(prefixes, parts))
+    candidates = materialize(_candidates(_entries(prefixes, tokens)))
+    # bound and open; the links join first components, few enough to contract before the last step
+    roots = components(_links(docs, candidates, classes, grouped))
     roots = (grouped.join(roots.withColumnRenamed("v", "comp"), "comp", "left")
              .select(F.col("cid").alias("v"), F.coalesce("root", "comp").alias("root")))
     # documents

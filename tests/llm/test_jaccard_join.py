@@ -126,9 +126,9 @@ def test_a_family_in_one_component_forms_no_pairs(spark):
     entries = jj._entries(prefixes, shared).cache()
     per_salt = entries.groupBy("token", "salt").count().collect()
     assert sum(r["count"] for r in per_salt) == 4003 and max(r["count"] for r in per_salt) < 2 * jj.SALT_ROWS
-    # the odd class meets three groups; of ties in size the larger class asks
-    got = sorted((r["q"], r["comp"]) for r in jj._candidates(entries).collect())
-    assert got == [(5001, 5000), (5002, 1)]
+    # the odd class's group meets the family's three, the family's do not meet each other
+    got = sorted((r["g"], r["h"]) for r in jj._candidates(entries).collect())
+    assert got == [(0, 5002), (1, 5002), (2, 5002), (5000, 5001)]
 
 
 def test_hot_passage_of_many_components(spark, monkeypatch):
@@ -149,7 +149,21 @@ def test_group_bounds_equal_the_bounds_of_its_members():
         members = [make(int(rng.integers(0, 60)), int(rng.integers(20, 400))) for _ in range(int(rng.integers(1, 12)))]
         group = jj.GroupBits([len(m) for m in members], [jj.bucket_bits(m) for m in members])
         q = make(int(rng.integers(0, 60)), int(rng.integers(20, 400)))
-        want = any(jj.may_link(len(q), jj.bucket_bits(q), len(m), jj.bucket_bits(m)) for m in members if len(m) <= len(q))
-        got = group.may_link(len(q), jj.bucket_bits(q))
-        assert got or not want
-        assert got <= any(jj.may_link(len(q), jj.bucket_bits(q), len(m), jj.bucket_bits(m)) for m in members)
+        want = {i for i, m in enumerate(members) if jj.may_link(len(q), jj.bucket_bits(q), len(m), jj.bucket_bits(m))}
+        got = set(group.may_link(len(q), jj.bucket_bits(q)).tolist())
+        assert got <= want and got >= {i for i, m in enumerate(members) if jj.similar(q, m)}
+
+
+def test_a_family_that_hardly_links(spark, monkeypatch):
+    """Copies around one text, most pairs under 0.75: a few groups, all links found."""
+    monkeypatch.setattr(jj, "GROUP", 16)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(90)]
+    rows = []
+    for i in range(160):
+        t = list(base)
+        for _ in range(rng.randrange(1, 6)):
+            t[rng.randrange(90)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(t), "en", "s", 1))
+    got = jj.jaccard_components(frame(spark, rows)).collect()
+    assert sorted(str(tuple(r)[:3]) for r in got) == brute(rows)
