@@ -28,8 +28,8 @@ Token-group matrix.
    bit sets at once, before any set is read again (a group's queries are
    salted).  For the rest the overlap of the query set with the token union of
    the members asked for is the last bound; only groups that reach the query's
-   needed overlap are opened, and the members compared, of each component until
-   one links (more links between two components change nothing).
+   needed overlap are opened, and the members of components not yet joined there
+   are compared (more links between joined components change nothing).
 
 Every link between different components is found, so the components are
 exact.  No group is cut: shingles shared by very many documents come last in
@@ -458,22 +458,31 @@ def _bound(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
 
 
 def _open(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
-    """The (a, b) of a group: a query's component, and that of a member it
-    links with.  Bound by the token union of the members asked for, then they
-    are compared, of each component until one links."""
+    """Links (a, b) between a query's component and a member's, as many as
+    join what the group joins.  Bound by the token union of the members asked
+    for, then they are compared, those of joined components no more."""
     if queries.empty or members.empty:
         return pd.DataFrame({"a": [], "b": []})
     held = {c: (b, np.frombuffer(s, dtype=np.uint64)) for c, b, s in zip(members["cid"], members["comp"], members["held"])}
     union = np.unique(np.concatenate([s for _, s in held.values()]))
-    found = set()
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.get(x, x)) != x:
+            parent[x] = parent.get(up, up)
+            x = parent[x]
+        return x
+
+    links = []
     for a, blob, hits in zip(queries["comp_q"].tolist(), queries["asked"], queries["hits"]):
         s = np.frombuffer(blob, dtype=np.uint64)
         if DEN * _overlap(s, union) < NUM * len(s):
             continue
         for b, x in (held[h] for h in hits):
-            if (a, b) not in found and similar(s, x):
-                found.add((a, b))
-    return pd.DataFrame(sorted(found), columns=["a", "b"])
+            if root(a) != root(b) and similar(s, x):
+                links.append((a, b))
+                parent[root(a)] = root(b)
+    return pd.DataFrame(links, columns=["a", "b"])
 
 
 def _salted(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
