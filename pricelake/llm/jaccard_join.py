@@ -440,8 +440,10 @@ class GroupBits:
 
 def _bound(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
     """The queries (q, comp_q, gid) of a group with the members of other
-    components that they may link with."""
-    none = pd.DataFrame({"q": [], "comp_q": [], "gid": [], "hits": pd.Series([], dtype=object)})
+    components that they may link with (hits); the first of them also has all
+    members that any of them asks for (opened)."""
+    none = pd.DataFrame({"q": [], "comp_q": [], "gid": [], "hits": pd.Series([], dtype=object),
+                         "opened": pd.Series([], dtype=object)})
     if queries.empty or members.empty:
         return none
     members = members.sort_values(["n", "cid"], ignore_index=True)
@@ -454,7 +456,12 @@ def _bound(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         at = at[comp[at] != c]
         hits.append(cid[at[at < place[q]] if own else at].tolist())
     some = [len(h) > 0 for h in hits]
-    return queries.loc[some, ["q", "comp_q", "gid"]].assign(hits=[h for h in hits if len(h)]) if any(some) else none
+    if not any(some):
+        return none
+    hits = [h for h in hits if h]
+    opened = [sorted(set().union(*hits))] + [[] for _ in hits[1:]]
+    return queries.loc[some, ["q", "comp_q", "gid"]].assign(hits=pd.Series(hits, dtype=object).to_numpy(),
+                                                            opened=pd.Series(opened, dtype=object).to_numpy())
 
 
 def _open(queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
@@ -500,11 +507,11 @@ def _links(docs: DataFrame, pairs: DataFrame, classes: DataFrame, grouped: DataF
     asking = (asking.join(classes.select(F.col("cid").alias("q"), F.col("bits").alias("bits_q")), "q")
               .select("gid", "salt", "q", "n_q", "comp_q", "own", "bits_q"))
     left = materialize(asking.groupBy("gid", "salt").cogroup(held.groupBy("gid", "salt"))
-                       .applyInPandas(_bound, "q long, comp_q long, gid long, hits array<long>"))
-    wanted = left.select(F.col("q").alias("cid")).union(left.select(F.explode("hits").alias("cid"))).distinct()
+                       .applyInPandas(_bound, "q long, comp_q long, gid long, hits array<long>, opened array<long>"))
+    hit = materialize(left.select("gid", F.explode("opened").alias("cid")).distinct())
+    wanted = left.select(F.col("q").alias("cid")).union(hit.select("cid")).distinct()
     sets = materialize(sets_of(docs, grouped.join(wanted, "cid", "left_semi").select("cid", "th")))
-    hit = materialize(left.select("gid", F.explode("hits").alias("cid")).distinct())
-    left, salts = _salted(left)
+    left, salts = _salted(left.drop("opened"))
     queries = (left.join(sets.select(F.col("cid").alias("q"), F.col("shingles").alias("asked")), "q")
                .select("gid", "salt", "q", "comp_q", "hits", "asked"))
     members = (hit.join(salts, "gid").join(grouped.select("cid", "comp"), "cid")
