@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -54,10 +57,26 @@ def n_words(col: str = "text") -> Column:
     return F.regexp_count(text_or_empty(col), F.lit(WORD)).cast("long")
 
 
+def release_memory() -> None:
+    """Gives memory that earlier tasks of this Python worker freed back to the
+    system: workers live on over stages, and what they keep counts against the
+    executor.  Does nothing where the C library has no such call."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_in_pandas(df: DataFrame, run, schema: str, ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``mapInPandas`` with the nullable id columns carried as text: pandas
-    makes a column of longs with nulls a column of floats."""
+    makes a column of longs with nulls a column of floats.  A task begins with
+    what its worker's earlier tasks freed given back."""
+    def task(batches):
+        release_memory()
+        yield from run(batches)
+
     fields = StructType.fromDDL(schema).fields
     ddl = ", ".join(f"`{f.name}` {'string' if f.name in ids else f.dataType.simpleString()}" for f in fields)
-    out = df.withColumns({c: F.col(c).cast("string") for c in ids}).mapInPandas(run, ddl)
+    out = df.withColumns({c: F.col(c).cast("string") for c in ids}).mapInPandas(task, ddl)
     return out.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in fields if f.name in ids})

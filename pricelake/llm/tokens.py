@@ -3,7 +3,8 @@
 The vocabulary's splitting pattern never joins across white space and its
 normaliser treats characters on their own, so a text's ids are the ids of its
 white-space separated chunks in order.  Chunks repeat, so each worker keeps
-the ids of those it has met (a bounded dictionary, emptied when full).
+the ids of those it has met lately: when its dictionary is full it becomes the
+one before, from which chunks met again move over, and a new one begins.
 A chunk of plain Latin-1 characters goes through the library's BPE model
 alone after lower-casing and splitting; any other chunk (combining marks,
 other scripts, special strings) through the library's whole chain.
@@ -19,8 +20,9 @@ from collections.abc import Iterator
 import numpy as np
 import regex
 
-# About 200 bytes a chunk; the more a worker keeps, the fewer it meets anew.
-MAX_CHUNKS = 900_000
+# About 200 bytes a chunk, for at most two dictionaries; the more a worker keeps,
+# the fewer it meets anew.
+MAX_CHUNKS = 300_000
 # Latin-1 without its white space and controls: composed already, one-to-one in lower case.
 _PLAIN = regex.compile(r"[\x21-\x7e\xa1-\xac\xae-\xff]+")
 # str.split() cuts at Unicode white space and at these four, which are no white
@@ -39,7 +41,8 @@ def _byte_chars() -> dict[int, str]:
 
 class ChunkIds:
     """Ids of whole texts as little-endian 32-bit bytes.  ``chunks`` holds the
-    chunks met before; a lower-case pre-token is a chunk of its own."""
+    chunks met lately, ``before`` those of the dictionary before; a lower-case
+    pre-token is a chunk of its own."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -59,6 +62,7 @@ class ChunkIds:
         self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.bytes = _byte_chars()
         self.chunks: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def _cut(self, chunk: str) -> list[str]:
         """Lower-case pre-tokens of a plain chunk; none for any other chunk."""
@@ -83,6 +87,15 @@ class ChunkIds:
             self.chunks[piece] = blob[at:stop]
             at = stop
 
+    def _recall(self, chunks: set[str]) -> set[str]:
+        """Chunks of the dictionary before move to the present one; the others."""
+        old = self.before
+        if not old:
+            return chunks
+        again = [c for c in chunks if c in old]
+        self.chunks.update((c, old[c]) for c in again)
+        return chunks.difference(again)
+
     def _learn(self, chunks: set[str]) -> None:
         known = self.chunks
         cuts, new = {}, set()
@@ -94,9 +107,9 @@ class ChunkIds:
                 new.update(cut)
             else:
                 known[chunk] = np.array(self.whole.encode(chunk, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        new = list(new.difference(known))
+        new = self._recall(new.difference(known))
         if new:
-            self._learn_pieces(new)
+            self._learn_pieces(list(new))
         for chunk, cut in cuts.items():
             known[chunk] = known[cut[0]] if len(cut) == 1 else b"".join([known[p] for p in cut])
 
@@ -107,8 +120,9 @@ class ChunkIds:
             met = set().union(*split)
             new = met.difference(self.chunks)
             if len(self.chunks) + len(new) > MAX_CHUNKS:
-                self.chunks.clear()
+                self.before, self.chunks = self.chunks, {}
                 new = met
+            new = self._recall(new)
             if new:
                 self._learn(new)
             get = self.chunks.__getitem__
