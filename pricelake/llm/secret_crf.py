@@ -11,7 +11,13 @@ of digits, number of assignments.  Weights are trained here by forward-
 backward gradients (AdaGrad, fixed number of rounds, no randomness) on token
 windows of a bounded sample of documents (``SAMPLE_DOCS``, by hash of the id)
 whose labels are the base spans.  Documents with a base match are a stratum of
-their own (``SECRET_DOCS``), so rare secrets are learned from as well.
+their own (``SECRET_DOCS``), so rare secrets are learned from as well.  Of the
+sample's windows at most ``SECRET_WINDOWS`` hold a secret (``SECRETS_A_TEXT`` a
+document) and ``PLAIN_WINDOWS`` none.  The base patterns show few shapes, so
+secrets of other shapes, drawn from character classes, are put into
+``MADE_WINDOWS`` plain windows beside names of many kinds or bare in prose, and
+plain values (numbers, paths, identifiers) beside such names into
+``DECOY_WINDOWS``.  Names are outside.
 
 Decoding is exact Viterbi on whole texts.  A token whose best secret score is
 below its outside score by more than any change of the transitions and of the
@@ -19,13 +25,14 @@ token after it can make good is outside on every best path, so such tokens cut a
 independent stretches; only the rest is decoded step by step.
 
 Edge cases: null and empty texts have no span; an empty table gives an empty
-result; without a labelled sample the CRF adds nothing; repeated rows get
+result; without a text to train on the CRF adds nothing; repeated rows get
 equal answers; very long texts are read whole, in linear time.
 """
 
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections.abc import Iterator
@@ -35,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import map_in_pandas
+from pricelake.llm.common import map_in_pandas, materialize
 
 # ---------------------------------------------------------------------------
 # The base patterns and their least lengths, kinds in order.
@@ -55,6 +62,11 @@ KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 TOKEN = re.compile(r"[^\W_]+(?:[+/_.\-][^\W_]+)*|[^\w\s]+|_+")
 SAMPLE_DOCS = 6000
 SECRET_DOCS = 600  # of the sample, documents with a base match
+SECRET_WINDOWS = 400
+PLAIN_WINDOWS = 500
+SECRETS_A_TEXT = 3  # windows around secrets of one document
+MADE_WINDOWS = 900
+DECOY_WINDOWS = 300
 WINDOW = 24
 ROUNDS = 40
 WORDS = 400
@@ -110,8 +122,15 @@ def token_features(token: str, words: frozenset[str]) -> list[int]:
     turns = min(turns, 8)
     both = digits > 0 and letters > 0
     share = min(4, 5 * digits // n)
+    case = [c.isupper() if c.isalpha() else None for c in token]
+    switches, longest, run = 0, 0, 0
+    for a, b in zip([None, *case], case):
+        run = 0 if b is None else run + 1 if a == b else 1
+        switches += a is not None and b is not None and a != b
+        longest = max(longest, run)
     names = [f"size={size}", f"digits={share}", f"turns={turns}", f"both={both},{size}", f"turns,size={turns},{size}",
-             f"shape={_shape(token)}", f"case={min(4, 5 * upper // n)},{digits > 0},{n > 11}"]
+             f"switches={min(switches, 8)},{size}", f"run={min(longest, 12)},{size}",
+             f"mixed={min(switches + turns, 9)},{share},{size}", f"shape={_shape(token)}", f"case={min(4, 5 * upper // n)},{digits > 0},{n > 11}"]
     if token.lower() in words:
         names.append("word=" + token.lower())
     return [_bucket(x) for x in names]
@@ -149,7 +168,7 @@ def windows(text: str) -> list[tuple[list[str], list[int]]]:
         inside = [i for i, (a, b, _) in enumerate(found) if a < end and b > start]
         for k, i in enumerate(inside):
             tags[i] = B if k == 0 else I
-    middles = [i for i, t in enumerate(tags) if t == B][:3]
+    middles = [i for i, t in enumerate(tags) if t == B][:SECRETS_A_TEXT]
     middles.append(zlib.crc32(text.encode("utf-8", "replace")) % len(found))
     out = []
     for mid in middles:
@@ -165,10 +184,101 @@ def _recased(tokens: list[str], tags: list[int]) -> list[str]:
             if tag != O else t for t, tag in zip(tokens, tags)]
 
 
+# ---------------------------------------------------------------------------
+# Parts of the names and classes of characters of made secrets.
+# ---------------------------------------------------------------------------
+OWNERS = "client db database aws service admin user private access auth session deploy root app my prod mail cloud".split()
+THINGS = "key secret pass passphrase pwd auth credential credentials token cert signature pin login hash".split()
+LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+ALPHABETS = ["0123456789abcdef", "0123456789ABCDEF", LOWER + DIGITS, UPPER + DIGITS, LOWER + UPPER + DIGITS,
+             LOWER + UPPER + DIGITS, LOWER + UPPER + DIGITS + "+/", LOWER + UPPER]
+
+
+def _name(rng: random.Random) -> str:
+    parts = [rng.choice(OWNERS), rng.choice(THINGS)] if rng.random() < 0.6 else [rng.choice(THINGS)]
+    if rng.random() < 0.2:
+        parts.insert(1, rng.choice(OWNERS))
+    if rng.random() < 0.1:
+        return "".join(rng.choice(UPPER) for _ in range(rng.randint(2, 3)))
+    way = rng.randrange(4)
+    if way == 0:
+        return "".join([parts[0], *(p.capitalize() for p in parts[1:])])
+    name = rng.choice("__-.").join(parts)
+    return name.upper() if way == 1 else name
+
+
+def _drawn(rng: random.Random) -> str:
+    """A secret's value: characters of one class, some prefixed or in groups."""
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    letters, kind = rng.choice(ALPHABETS), rng.random()
+    size = rng.randint(16, 48) if rng.random() < 0.8 else rng.randint(48, 160)
+    if kind < 0.5:
+        return draw(letters, size) + "=" * rng.choice([0, 0, 0, 1, 2])
+    if kind < 0.7:  # one or two words before the rest
+        lead = [draw(LOWER, rng.randint(2, 5)) for _ in range(rng.randint(1, 2))]
+        return rng.choice("_-").join([*lead, draw(letters, size)])
+    groups = rng.randint(2, 5)
+    return rng.choice("--_.").join(draw(rng.choice([letters, letters, DIGITS]) if i < groups - 1 else letters,
+                                        rng.randint(4, max(12, size // 2))) for i in range(groups))
+
+
+def _decoy(rng: random.Random, words: list[str]) -> str:
+    """A plain value."""
+    some = lambda n: [rng.choice(words) for _ in range(n)]
+    kind = rng.randrange(8)
+    if kind == 0:
+        return str(rng.randint(0, 10**rng.randint(1, 12)))
+    if kind == 1:
+        return "/" + "/".join(some(rng.randint(2, 5)))
+    if kind == 2:
+        return "https://" + ".".join(some(2)) + "/" + "-".join(some(rng.randint(2, 6)))
+    if kind == 3:
+        return "".join(w.capitalize() for w in some(rng.randint(2, 4)))
+    if kind == 4:
+        return rng.choice("_-.").join(some(rng.randint(2, 5)))
+    if kind == 5:
+        return f"{rng.randint(1990, 2030)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}" + rng.choice(["", "T10:20:30", " 10:20"])
+    if kind == 6:
+        return f"{rng.choice(words)}.{rng.choice(words)}{rng.randint(0, 99)}@{rng.choice(words)}.com"
+    return rng.choice(["+", "", "0"]) + rng.choice("- ").join(str(rng.randint(10, 9999)) for _ in range(rng.randint(2, 5)))
+
+
+def _placed(tokens: list[str], rng: random.Random, decoy: bool) -> tuple[list[str], list[int]]:
+    """A plain window with a made secret, or a decoy, at some place."""
+    words = [t.lower() for t in tokens if t.isalpha() and t.isascii()] or ["word"]
+    value = _decoy(rng, words) if decoy else _drawn(rng)
+    quote = rng.choice(["", "", '"', "'"])
+    if rng.random() < 0.3:
+        before, after = quote, quote + rng.choice(["", ".", ","])
+    else:
+        mark = rng.choice(["=", "=", " = ", ": ", ":", " := ", " is ", " "])
+        before, after = rng.choice(["", "", "export ", "set ", quote]) + _name(rng) + mark + quote, quote + rng.choice(["", "", ",", ";"])
+    text, tags, found = before + value + after, [], []
+    for m in TOKEN.finditer(text):
+        inside = not decoy and m.start() < len(before) + len(value) and m.end() > len(before)
+        found.append(m[0])
+        tags.append(O if not inside else I if tags and tags[-1] != O else B)
+    low = max(0, min(rng.randrange(len(tokens) + 1), 2 * WINDOW - len(found)))
+    tokens, tags = tokens[:low] + found + tokens[low:], [O] * low + tags + [O] * (len(tokens) - low)
+    return tokens[:2 * WINDOW], tags[:2 * WINDOW]
+
+
+def made_windows(plain: list[tuple[list[str], list[int], list[int]]], secrets: int = MADE_WINDOWS,
+                 decoys: int = DECOY_WINDOWS) -> list[tuple[list[str], list[int], list[int]]]:
+    """Plain windows with made secrets and decoys put in, the same in each run."""
+    rng = random.Random(len(plain))
+    out = []
+    for k in range(secrets + decoys if plain else 0):
+        tokens, _, of_file = plain[k % len(plain)]
+        out.append((*_placed(tokens, rng, k >= secrets), of_file))
+    return out
+
+
 def train(sample: list[tuple[list[str], list[int], list[int]]], rounds: int = ROUNDS) -> Weights:
     """Weights from (tokens, tags, file features) windows."""
     w = Weights()
     sample = sample + [(_recased(tokens, tags), tags, of_file) for tokens, tags, of_file in sample if B in tags]
+    sample += made_windows([x for x in sample if B not in x[1]])
     if not any(B in tags for _, tags, _ in sample):
         return w
     w.trained = True
@@ -180,8 +290,8 @@ def train(sample: list[tuple[list[str], list[int], list[int]]], rounds: int = RO
     w.words = frozenset(sorted((t for t, k in near.items() if k > 2), key=lambda t: (-near[t], t))[:WORDS])
     length = 2 * WINDOW
     n = len(sample)
-    width = 8
-    feats = np.zeros((n, length, 4, width), dtype=np.int64)
+    width = 11
+    feats = np.zeros((n, length, 4, width), dtype=np.int32)
     on = np.zeros((n, length, 4, width), dtype=np.float32)
     tags = np.zeros((n, length), dtype=np.int64)
     mask = np.zeros((n, length), dtype=bool)
@@ -237,17 +347,28 @@ def _logsumexp(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
+def has_base_match(text: str = "text"):
+    """Column: the text holds a base match.  Only texts with a mark that an
+    assignment or access key needs go through the long pattern."""
+    c = F.col(text)
+    marked = c.contains("=") | c.contains(":") | c.contains("AKIA")
+    return F.when(marked, c.rlike(MATCHED)).otherwise(c.rlike("[0-9a-f]{16}"))
+
+
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, secret_docs: int = SECRET_DOCS) -> Weights:
     """Train on windows of about ``sample_docs`` documents, ``secret_docs`` of
     them with a base match, chosen by the hash of their id; the windows are
-    all that reaches the driver."""
-    known = (docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-             .select("doc_id", "text", F.col("text").rlike(MATCHED).alias("matched")))
-    counts = {r["matched"]: r["count"] for r in known.groupBy("matched").count().collect()}
+    all that reaches the driver.  Texts are matched once: ids and matches are
+    written, the picked ids (at most twice the sample) fetch their texts."""
     space = 1 << 40
+    rows = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    known = materialize(rows.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(space)).alias("place"),
+                                    has_base_match().alias("matched")))
+    counts = {r["matched"]: r["count"] for r in known.groupBy("matched").count().collect()}
     limits = [min(space, size * space // max(counts.get(matched, 0), 1))
               for matched, size in ((True, secret_docs), (False, sample_docs - secret_docs))]
-    picked = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(space)) < F.when(F.col("matched"), limits[0]).otherwise(limits[1]))
+    picked = (known.filter(F.col("place") < F.when(F.col("matched"), limits[0]).otherwise(limits[1]))
+              .select("doc_id").distinct())
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -255,12 +376,11 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, secret_docs: int = SECR
                     for i, t in zip(pdf["doc_id"].tolist(), pdf["text"].tolist())
                     for k, (tokens, tags) in enumerate(windows(t))]
             yield pd.DataFrame(rows, columns=["doc_id", "k", "tokens", "tags", "file"])
-    rows = (picked.select("doc_id", "text")
+    cuts = (rows.select("doc_id", "text").join(F.broadcast(picked), "doc_id", "left_semi")
             .mapInPandas(cut, "doc_id long, k int, tokens array<string>, tags array<int>, file array<int>").collect())
-    rows.sort(key=lambda r: (r["doc_id"], r["k"], r["tokens"]))
-    secret = [r for r in rows if B in r["tags"]][:600]
-    plain = [r for r in rows if B not in r["tags"]]
-    plain = plain[::max(1, len(plain) // 600)]
+    cuts.sort(key=lambda r: (zlib.crc32(f"{r['doc_id']} {r['k']}".encode()), r["doc_id"], r["k"], r["tokens"]))
+    secret = [r for r in cuts if B in r["tags"]][:SECRET_WINDOWS]
+    plain = [r for r in cuts if B not in r["tags"]][:PLAIN_WINDOWS]
     return train([(r["tokens"], r["tags"], r["file"]) for r in secret + plain])
 
 

@@ -141,3 +141,49 @@ def test_crf_spans_beside_and_around_base_spans():
     wide, inside, quoted = (a - 3, b + 4), (a + 2, b), (c - 1, d + 1)
     got = sc.scan_text(text, Fixed(wide, inside, quoted))
     assert got[0] == base and [s for s in got[1] if s[2] == "crf"] == [(*wide, "crf")]
+
+
+# Shapes and settings of secrets that the training does not draw.
+ALNUM = sc.LOWER + sc.UPPER + sc.DIGITS
+UNSEEN = {
+    "token with a known prefix": lambda draw: "ghp_" + draw(ALNUM, 36),
+    "base 32": lambda draw: draw(sc.UPPER + "234567", 32),
+    "three dotted parts": lambda draw: "eyJ" + draw(ALNUM, 30) + "." + draw(ALNUM, 60) + "." + draw(ALNUM, 43),
+    "digits, digits, letters": lambda draw: "-".join(["xoxb", draw(sc.DIGITS, 12), draw(sc.DIGITS, 12), draw(ALNUM, 24)]),
+    "dashed hex": lambda draw: "-".join(draw("0123456789abcdef", k) for k in (8, 4, 4, 4, 12)),
+}
+SETTINGS = ['client_key = "{}"', "GH={}", "pwd: {}", 'auth = "{}"', "aws_secret_access_key={}", '"signing_key": "{}"', "dsn={}"]
+
+
+def test_unseen_shapes_are_found_and_prose_is_left_alone(weights):
+    tagger, rng = sc.Tagger(weights), random.Random(21)
+    docs = [t for _, t, *_ in given_docs() if not brute_base(t)][:100]
+    for shape, make in UNSEEN.items():
+        hit = named = 0
+        for t in docs:
+            words = t.split(" ")
+            value = make(lambda letters, n: "".join(rng.choice(letters) for _ in range(n)))
+            at, setting = rng.randrange(len(words) + 1), rng.choice(SETTINGS)
+            text = " ".join([*words[:at], setting.format(value), *words[at:]])
+            start = text.index(value)
+            found = sc.scan_text(text, tagger)[1]
+            hit += any(a < start + len(value) and b > start for a, b, _ in found)
+            named += any(k == "crf" and b <= start for _, b, k in found)  # the name, not the value
+        assert hit / len(docs) >= 0.9 and named / len(docs) <= 0.02, shape
+    assert sum(any(k == "crf" for *_, k in sc.scan_text(t, tagger)[1]) for t in docs) <= 1
+
+
+def test_made_windows_mark_the_value_only():
+    plain = [(["some", "plain", "words"] * 10, [sc.O] * 30, [1])]
+    made = sc.made_windows(plain, 300, 100)
+    assert made == sc.made_windows(plain, 300, 100)
+    assert all(len(tokens) == len(tags) <= 2 * sc.WINDOW for tokens, tags, _ in made)
+    assert all(sc.B in tags for _, tags, _ in made[:300]) and all(sc.B not in tags for _, tags, _ in made[300:])
+    for tokens, tags, _ in made:
+        assert all(before != sc.O for before, tag in zip([sc.O, *tags], tags) if tag == sc.I)
+
+
+def test_each_base_match_is_seen_by_the_sample(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(SECRETS)] + [(99, None)], "i int, text string")
+    got = {r["i"]: bool(r["m"]) for r in df.select("i", sc.has_base_match().alias("m")).collect()}
+    assert got == {i: bool(brute_base(t)) for i, (t, _) in enumerate(SECRETS)} | {99: False}
