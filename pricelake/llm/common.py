@@ -57,10 +57,22 @@ def n_words(col: str = "text") -> Column:
     return F.regexp_count(text_or_empty(col), F.lit(WORD)).cast("long")
 
 
-def release_memory() -> None:
-    """Gives memory that earlier tasks of this Python worker freed back to the
-    system: workers live on over stages, and what they keep counts against the
-    executor.  Does nothing where the C library has no such call."""
+_KEPT: dict[str, object] = {}
+
+
+def kept(key: str, make):
+    """What ``make`` gave to an earlier task of this Python worker, or gives now."""
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release_memory(keep: str | None = None) -> None:
+    """Drops what earlier stages kept in this Python worker, but for ``keep``,
+    and gives what is free back to the system: workers live on over stages, and
+    all they hold counts against the executor."""
+    for key in [k for k in _KEPT if k != keep]:
+        del _KEPT[key]
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
@@ -68,15 +80,18 @@ def release_memory() -> None:
         trim(0)
 
 
-def map_in_pandas(df: DataFrame, run, schema: str, ids: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``mapInPandas`` with the nullable id columns carried as text: pandas
-    makes a column of longs with nulls a column of floats.  A task begins with
-    what its worker's earlier tasks freed given back."""
+def fresh(run, keep: str | None = None):
+    """``run`` over batches, beginning with ``release_memory``."""
     def task(batches):
-        release_memory()
+        release_memory(keep)
         yield from run(batches)
+    return task
+
 
+def map_in_pandas(df: DataFrame, run, schema: str, ids: tuple[str, ...] = ("doc_id",), keep: str | None = None) -> DataFrame:
+    """``mapInPandas`` with the nullable id columns carried as text: pandas
+    makes a column of longs with nulls a column of floats.  Tasks are ``fresh``."""
     fields = StructType.fromDDL(schema).fields
     ddl = ", ".join(f"`{f.name}` {'string' if f.name in ids else f.dataType.simpleString()}" for f in fields)
-    out = df.withColumns({c: F.col(c).cast("string") for c in ids}).mapInPandas(task, ddl)
+    out = df.withColumns({c: F.col(c).cast("string") for c in ids}).mapInPandas(fresh(run, keep), ddl)
     return out.withColumns({f.name: F.col(f.name).cast(f.dataType) for f in fields if f.name in ids})

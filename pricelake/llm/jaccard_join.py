@@ -53,7 +53,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import map_in_pandas, materialize, shuffle_partitions
+from pricelake.llm.common import fresh, map_in_pandas, materialize, shuffle_partitions
 from pricelake.llm.components import components
 
 WORDS = 5
@@ -202,7 +202,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     rows.append((class_id(s), s.tobytes()))
             yield pd.DataFrame(rows, columns=["cid", "shingles"])
     read = (docs.filter(F.col("text").isNotNull()).select("text", F.xxhash64("text").alias("th"))
-            .mapInPandas(run, "cid long, shingles binary"))
+            .mapInPandas(fresh(run), "cid long, shingles binary"))
     return read.join(wanted.select("cid").distinct(), "cid", "left_semi").dropDuplicates(["cid"])
 
 
@@ -281,7 +281,7 @@ def _prefixes(docs: DataFrame, counts: np.ndarray) -> DataFrame:
                 often = counts[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
                 rows.append((cid, n, s[np.lexsort((s, often))[:keep]].tobytes()))
             yield pd.DataFrame(rows, columns=["cid", "n", "tokens"])
-    return docs.select("text").mapInPandas(run, "cid long, n int, tokens binary")
+    return docs.select("text").mapInPandas(fresh(run), "cid long, n int, tokens binary")
 
 
 def _per_token(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -322,7 +322,7 @@ def _shared_tokens(prefixes: DataFrame, parts: int) -> DataFrame:
         tokens, low, apart, n = np.concatenate(blobs, axis=1)
         tokens, low, high, n = _spread(tokens, low, low ^ apart, n)
         return pd.DataFrame({"token": tokens, "entries": n})[low != high]
-    return (prefixes.select("comp", "tokens").mapInPandas(run, "part int, tokens binary")
+    return (prefixes.select("comp", "tokens").mapInPandas(fresh(run), "part int, tokens binary")
             .groupBy("part").applyInPandas(add, "token long, entries long"))
 
 
@@ -360,7 +360,7 @@ def _entries(prefixes: DataFrame, shared: DataFrame) -> DataFrame:
             yield pd.DataFrame({"token": tokens[hit].view(np.int64), "place": place[hit],
                                 **{c: pdf[c].to_numpy()[row[hit]] for c in ("cid", "comp", "gid", "n")}})
     salts = F.ceil(F.col("entries") / F.lit(SALT_ROWS)).cast("int")
-    return (prefixes.mapInPandas(run, "token long, place int, cid long, comp long, gid long, n int")
+    return (prefixes.mapInPandas(fresh(run), "token long, place int, cid long, comp long, gid long, n int")
             .join(shared, "token").withColumn("salts", salts)
             .select("token", F.pmod(F.xxhash64("cid"), "salts").cast("int").alias("salt"), "salts", "cid", "comp", "gid",
                     "n", "place"))

@@ -33,6 +33,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pricelake.llm.common import release_memory
+
 SAMPLE_DOCS = 120
 EXCERPT_CHARS = 800
 PIECE = 1 << 14
@@ -103,6 +105,7 @@ def language(content: list[tuple[str, bytes]], text: str = "text") -> Column:
     """struct(lang, score) of a text column."""
     @F.pandas_udf("lang string, score double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        release_memory()
         classify = Classifier(content).classify
         for texts in batches:
             yield pd.DataFrame([classify(t) for t in texts], columns=["lang", "score"])

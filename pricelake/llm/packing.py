@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.llm.common import map_in_pandas, materialize
-from pricelake.llm.tokens import chunk_ids
+from pricelake.llm.tokens import chunk_ids, kept_as
 
 CAPACITY = 4096
 END_ID = 1
@@ -59,7 +59,7 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_
             yield pd.DataFrame({"doc_id": pdf["doc_id"].take(list(at)).to_numpy(),
                                 **dict(zip(("piece", "start", "length", "ids_crc32"), cols))})
     return map_in_pandas(docs.select("doc_id", "text"), pieces,
-                         "doc_id long, piece int, start long, length long, ids_crc32 long")
+                         "doc_id long, piece int, start long, length long, ids_crc32 long", keep=kept_as(path))
 
 
 class Plan:

@@ -20,6 +20,8 @@ from collections.abc import Iterator
 import numpy as np
 import regex
 
+from pricelake.llm.common import kept
+
 # About 200 bytes a chunk, for at most two dictionaries; the more a worker keeps,
 # the fewer it meets anew.
 MAX_CHUNKS = 300_000
@@ -130,11 +132,11 @@ class ChunkIds:
                 yield b"".join(map(get, chunks))
 
 
-_LOADED: dict[str, ChunkIds] = {}
+def kept_as(path: str) -> str:
+    """The name under which a worker keeps the dictionary of a vocabulary file."""
+    return f"chunk ids {path}"
 
 
 def chunk_ids(path: str) -> ChunkIds:
     """The worker's dictionary for a vocabulary file."""
-    if path not in _LOADED:
-        _LOADED[path] = ChunkIds(path)
-    return _LOADED[path]
+    return kept(kept_as(path), lambda: ChunkIds(path))
