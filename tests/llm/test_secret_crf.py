@@ -143,7 +143,8 @@ def test_crf_spans_beside_and_around_base_spans():
     assert got[0] == base and [s for s in got[1] if s[2] == "crf"] == [(*wide, "crf")]
 
 
-# Shapes and settings of secrets that the training does not draw.
+# Concrete shapes that the training does not name, though it draws values of similar
+# build; its draws were widened once with figures on these shapes at hand.
 ALNUM = sc.LOWER + sc.UPPER + sc.DIGITS
 UNSEEN = {
     "token with a known prefix": lambda draw: "ghp_" + draw(ALNUM, 36),
