@@ -11,17 +11,29 @@ huge history is not one window task: rows are first windowed per
 last row of each bucket looks up the first sequence of the key's next
 bucket in a table with one row per (key, bucket).  Both the window and the
 join hash-partition on (key, bucket), so they share one exchange.
+
+A bucket may still hold a large part of all rows (one key, one day).  ``scd2``
+counts the rows of each (key, bucket) first; if one has more than
+``HOT_ROWS``, versions come from a partial aggregate and their ends from a
+carry scan (``carried_next``): (key, sequence) pairs are range-partitioned,
+each partition looks up its rows' successors alone, and only the first pair
+of a partition is carried to the partition before.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelake.operators.order import Term, desc, keep_one
+from pricelake.operators.keys import join_on, ranged_keys
+from pricelake.operators.order import Term, asc, desc, keep_one
 
 START = "__START_AT"
 END = "__END_AT"
+# Rows of one (key, bucket) that a single window task may sort.
+HOT_ROWS = 1_000_000
 
 
 def _sort_col(t: Term) -> Column:
@@ -54,9 +66,29 @@ def next_in_key(df: DataFrame, keys: list[str], seq: str, out: str,
     return _bucket_ends(df.withColumn("_bkt", bucket), keys, seq, out)
 
 
+def carried_next(df: DataFrame, keys: list[str], seq: str, out: str, partitions: int | None = None) -> DataFrame:
+    """``next_in_key`` without a task per key: a scan over range partitions of
+    (keys, seq), pinned, with one boundary row for each partition."""
+    names = [*keys, seq]
+    ranged = ranged_keys(df.select(*names), [asc(c) for c in names], partitions)
+    pair = F.struct(*names)
+    edges = ranged.where(F.col("_pos") == 0).select(
+        "_pid", F.lead(pair).over(Window.orderBy("_pid")).alias("_edge"))
+    inside = F.lead(pair).over(Window.partitionBy("_pid").orderBy("_pos"))
+    after = ranged.withColumn("_inside", inside).join(F.broadcast(edges), "_pid").select(
+        *names, F.coalesce("_inside", "_edge").alias("_after"))
+    same = reduce(lambda a, b: a & b, [F.col(f"_after.{k}").eqNullSafe(F.col(k)) for k in keys])
+    ends = after.select(*names, F.when(same, F.col(f"_after.{seq}")).alias(out))
+    return join_on(df, ends, names)
+
+
+def _has_hot_bucket(bucketed: DataFrame, keys: list[str], rows: int) -> bool:
+    return not bucketed.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).isEmpty()
+
+
 def scd2(events: DataFrame, keys: list[str], seq: str, tie: list[Term] | None = None,
-         split: Column | None = None) -> DataFrame:
-    """SCD type 2 history over all events (batch).
+         split: Column | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """SCD type 2 history over all events (batch); ``seq`` is never NULL.
 
     Equal (keys, seq) rows collapse to one version chosen by ``tie``: inside
     each (key, bucket) window the rows are ordered by (seq, tie) and the
@@ -65,6 +97,9 @@ def scd2(events: DataFrame, keys: list[str], seq: str, tie: list[Term] | None =
     bucket = split if split is not None else F.to_date(F.col(seq))
     w = Window.partitionBy(*keys, "_bkt").orderBy(F.col(seq).asc(), *[_sort_col(t) for t in (tie or [])])
     bucketed = events.withColumn("_bkt", bucket)
+    if _has_hot_bucket(bucketed, keys, hot_rows):
+        hist = carried_next(keep_one(events, [*keys, seq], tie or []), keys, seq, END)
+        return hist.withColumn(START, F.col(seq)).select(*events.columns, START, END)
     b = bucketed.withColumn("_prev", F.lag(seq).over(w))
     versions = b.where(F.col("_prev").isNull() | (F.col("_prev") != F.col(seq))).drop("_prev")
     hist = _bucket_ends(versions, keys, seq, END, firsts_from=bucketed.select(*keys, seq, "_bkt"))

@@ -53,7 +53,7 @@ def join_on(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inne
     return out if how in ("left_anti", "left_semi") else out.drop(*[f"_k_{k}" for k in keys])
 
 
-def _ranged(keys: DataFrame, order: list[Term], partitions: int | None) -> DataFrame:
+def ranged_keys(keys: DataFrame, order: list[Term], partitions: int | None) -> DataFrame:
     """``keys`` in order over partitions, with partition and position, pinned."""
     n = partitions or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [_sort_col(t) for t in order]
@@ -70,7 +70,7 @@ def _offsets(ranged: DataFrame, amount: Column) -> DataFrame:
 
 
 def _numbered(keys: DataFrame, order: list[Term], id_col: str, start: int | Column, partitions: int | None) -> DataFrame:
-    ranged = _ranged(keys, order, partitions)
+    ranged = ranged_keys(keys, order, partitions)
     start_col = start if isinstance(start, Column) else F.lit(start)
     return (ranged.join(_offsets(ranged, F.lit(1)), "_pid")
             .withColumn(id_col, (start_col + F.col("_off") + F.col("_pos") + F.lit(1)).cast("long"))
@@ -88,7 +88,7 @@ def dense_ids(df: DataFrame, order: list[Term], id_col: str, start: int | Column
 
 def prefix_sums(rows: DataFrame, order: list[Term], amount: str, out: str, partitions: int | None = None) -> DataFrame:
     """Add ``out``: the sum of ``amount`` over all rows before this one in ``order``."""
-    ranged = _ranged(rows, order, partitions)
+    ranged = ranged_keys(rows, order, partitions)
     before = Window.partitionBy("_pid").orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
     return (ranged.withColumn("_sum", F.coalesce(F.sum(amount).over(before), F.lit(0)))
             .join(_offsets(ranged, F.col(amount)), "_pid")

@@ -5,9 +5,9 @@ import random
 
 from pyspark.sql import functions as F
 
-from pricelake.operators.cdc import END, START, scd1, scd2
+from pricelake.operators.cdc import END, START, carried_next, scd1, scd2
 from pricelake.operators.fuzzy import best_match, lcs_length
-from pricelake.operators.keys import assign_keys, dense_ids
+from pricelake.operators.keys import assign_keys, dense_ids, ranged_keys
 from pricelake.operators.order import asc, desc, keep_one
 from pricelake.operators.quality import quality_gate, quality_report
 
@@ -131,3 +131,33 @@ def test_gated_write_counts_in_the_same_pass(spark, tmp_path):
     assert {tuple(r) for r in report.collect()} == want == {tuple(r) for r in quality_report(df, rules).collect()}
     none, empty = write_gated(df.where("false"), rules, f"file://{tmp_path}/e")
     assert none.count() == 0 and {tuple(r) for r in empty.collect()} == {("positive", 0, 0), ("named", 0, 0)}
+
+
+def test_scd2_one_key_with_a_third_of_one_day(spark):
+    """The carry scan: the hot key's day is many tasks, the history is the same."""
+    random.seed(11)
+    day = dt.datetime(2024, 3, 1)
+
+    def at():
+        return day + dt.timedelta(seconds=random.randrange(86_400))
+    events = [("hot", at(), f"t{i % 7}", f"p{i}") for i in range(1000)]
+    events += [(f"k{random.randrange(40)}", at() + dt.timedelta(days=random.randrange(3)), f"t{i % 5}", f"q{i}")
+               for i in range(2000)]
+    events += [("hot", day + dt.timedelta(days=2), "t", "later"), ("one", day, "t", "only")]
+    events += [("copy", day, f"t{i:04d}", f"c{i}") for i in range(300)]  # one version, many rows
+    events = list({(k, s, t): (k, s, t, p) for k, s, t, p in events}.values())
+    df = spark.createDataFrame(events, "k string, seq timestamp, tie string, payload string").repartition(6)
+    for hot_rows in (100, 1_000_000):
+        hist = scd2(df, ["k"], "seq", [asc("tie")], hot_rows=hot_rows)
+        assert {(r.k, r.seq, r.payload, r[END]) for r in hist.collect()} == _scd2_brute(events)
+        assert hist.columns == [*df.columns, START, END]
+
+
+def test_carried_next_null_keys_and_splits(spark):
+    rows = [(None, i) for i in range(50)] + [("hot", i) for i in range(500)] + [("z", 1)]
+    df = spark.createDataFrame(rows, "k string, seq int")
+    got = {tuple(r) for r in carried_next(df, ["k"], "seq", "nxt", partitions=16).collect()}
+    assert got == {(k, i, i + 1 if (k, i + 1) in set(rows) else None) for k, i in rows}
+    sizes = [r["count"] for r in ranged_keys(df, [asc("k"), asc("seq")], 16).groupBy("_pid").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 100  # the hot key is spread
+    assert carried_next(df.limit(0), ["k"], "seq", "nxt").count() == 0
