@@ -6,6 +6,7 @@ import string
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pricelake.llm import (cover_tree, exact_dedup, filter_audit, html_text, jaccard_join, language_id, merkle_manifest,
                            mixing, packing, secret_crf, substring_dedup, suffix_dedup, token_count)
@@ -41,7 +42,8 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents", "doc_id", "text"))
+    cut = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents", "doc_id", "text"))
+    return cut.withColumn("n_kept", F.col("n_bytes") - F.col("n_removed"))  # n_bytes is the input's
 
 
 def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
