@@ -18,7 +18,7 @@ from pricelake.operators.fuzzy import candidate_pairs, pair_scores
 from pricelake.operators.keymap import KeyMap
 from pricelake.operators.keys import assign_keys, dense_ids
 from pricelake.operators.order import asc, keep_one
-from pricelake.operators.quality import quality_gate, quality_report
+from pricelake.operators.quality import joined_report, quality_gate
 from pricelake.plans import gold, silver
 from pricelake.plans.params import CATEGORY_MAP_A, CATEGORY_MAP_B, PRICE_RULES, map_column
 from pricelake.plans.pipeline import tables
@@ -90,8 +90,11 @@ def _price_rows(t):
 
 def _bridged_price_rows(t):
     """Price rows with their bridge id, NULL where the SKU has none."""
-    bridge = t.store_product.select("store_id", "store_sku", "store_product_id")
-    return _price_rows(t).join(bridge, ["store_id", "store_sku"], "left")
+    return _price_rows(t).join(_bridge_ids(t), ["store_id", "store_sku"], "left")
+
+
+def _bridge_ids(t):
+    return t.store_product.select("store_id", "store_sku", "store_product_id")
 
 
 def q_quality_gate(spark, d):
@@ -101,10 +104,10 @@ def q_quality_gate(spark, d):
 
 def q_quality_report(spark, d):
     t = tables(spark, d)
-    t.stage_a, t.stage_b  # written behind their gates, which leaves the counts
     parts = [t.quality["stage_a"].withColumn("gate", F.lit("stage_a")),
              t.quality["stage_b"].withColumn("gate", F.lit("stage_b")),
-             quality_report(_bridged_price_rows(t), PRICE_RULES).withColumn("gate", F.lit("price"))]
+             joined_report(_price_rows(t), _bridge_ids(t), ["store_id", "store_sku"], PRICE_RULES)
+             .withColumn("gate", F.lit("price"))]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -124,7 +127,7 @@ def q_keep_latest(spark, d):
 
 
 def q_scd2_a(spark, d):
-    return tables(spark, d).hist_a
+    return silver.history_a(tables(spark, d).stage_a)
 
 
 def q_scd2_b(spark, d):
@@ -188,11 +191,15 @@ def q_canonical_a(spark, d):
     return tables(spark, d).canonical_a.select(*silver.CANONICAL_COLS)
 
 
-def _blocked_b(t):
-    b = silver.dim_lookup(t.hist_b, t.dim_brand, t.dim_category)
+def _blocked_b(t, cols=silver.HIST_B_COLS):
+    b = silver.dim_lookup(silver.versions_b(t.stage_b, cols), t.dim_brand, t.dim_category)
     return silver.block_filter(b, t.canonical_a)
 
 
+# What a name pair is made from.
+_MATCHED = ["brand_name", "category_name", "canonical_name"]
+
+
 def q_fuzzy_block_filter(spark, d):
     return _blocked_b(tables(spark, d)).select("store_sku", "raw_hash", "brand_id", "category_id", "canonical_name")
 
@@ -200,13 +207,13 @@ def q_fuzzy_block_filter(spark, d):
 def q_fuzzy_candidates(spark, d):
     """Distinct name pairs of a block that survive the Levenshtein bound."""
     t = tables(spark, d)
-    pairs = candidate_pairs(_blocked_b(t), t.canonical_a, ["brand_id", "category_id"])
+    pairs = candidate_pairs(_blocked_b(t, _MATCHED), t.canonical_a, ["brand_id", "category_id"])
     return pairs.select("brand_id", "category_id", "canonical_name", "cand_name")
 
 
 def q_fuzzy_score(spark, d):
     t = tables(spark, d)
-    return pair_scores(_blocked_b(t), t.canonical_a, ["brand_id", "category_id"])
+    return pair_scores(_blocked_b(t, _MATCHED), t.canonical_a, ["brand_id", "category_id"])
 
 
 def q_fuzzy_match(spark, d):
@@ -247,7 +254,7 @@ def q_multi_store_products(spark, d):
 
 
 def _joined(t):
-    return gold.current_prices(t.canonical, t.store_product, t.price_observation, t.hist_a, t.hist_b)
+    return gold.current_prices(t.canonical, t.store_product, t.price_observation, t.hist_a, t.cur_b)
 
 
 def q_pivot_prices(spark, d):
