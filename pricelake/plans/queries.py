@@ -17,7 +17,8 @@ from pricelake.functions.text import parse_pack
 from pricelake.operators.fuzzy import candidate_pairs, pair_scores
 from pricelake.operators.keymap import KeyMap
 from pricelake.operators.keys import assign_keys, dense_ids
-from pricelake.operators.order import asc, keep_one
+from pricelake.operators.latest import keep_latest
+from pricelake.operators.order import asc
 from pricelake.operators.quality import joined_report, quality_gate
 from pricelake.plans import gold, silver
 from pricelake.plans.params import CATEGORY_MAP_A, CATEGORY_MAP_B, PRICE_RULES, map_column
@@ -123,11 +124,11 @@ def q_stage_b(spark, d):
 
 
 def q_keep_latest(spark, d):
-    return keep_one(tables(spark, d).stage_a, silver.KEYS, silver.LATEST_A)
+    return keep_latest(tables(spark, d).stage_a, silver.KEYS, silver.LATEST_A)
 
 
 def q_scd2_a(spark, d):
-    return silver.history_a(tables(spark, d).stage_a)
+    return tables(spark, d).hist_a
 
 
 def q_scd2_b(spark, d):
@@ -254,7 +255,7 @@ def q_multi_store_products(spark, d):
 
 
 def _joined(t):
-    return gold.current_prices(t.canonical, t.store_product, t.price_observation, t.hist_a, t.cur_b)
+    return gold.current_prices(t.canonical, t.store_product, t.price_observation, t.versions_a, t.cur_b)
 
 
 def q_pivot_prices(spark, d):
