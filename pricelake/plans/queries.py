@@ -255,7 +255,7 @@ def q_multi_store_products(spark, d):
 
 
 def _joined(t):
-    return gold.current_prices(t.canonical, t.store_product, t.price_observation, t.versions_a, t.cur_b)
+    return gold.current_prices(t.canonical, t.store_product, t.price_facts, t.versions_a, t.cur_b)
 
 
 def q_pivot_prices(spark, d):
