@@ -278,12 +278,12 @@ def q_gold_price_trend(spark, d):
 
 def q_gold_trend_a(spark, d):
     t = tables(spark, d)
-    return gold.trend_a(t.bronze_a, t.cur_a, t.store_product, t.price_observation)
+    return gold.trend_a(t.bronze_a, t.cur_a, t.store_product, t.price_facts)
 
 
 def q_gold_trend_b(spark, d):
     t = tables(spark, d)
-    return gold.trend_b(t.bronze_b, t.cur_b, t.store_product, t.price_observation)
+    return gold.trend_b(t.bronze_b, t.cur_b, t.store_product, t.price_facts)
 
 
 def q_gold_promo_share(spark, d):
