@@ -14,7 +14,7 @@ def test_the_bridge_is_never_broadcast(spark, tmp_path):
     for name, df in (("canon", canon), ("sp", sp)):
         df.write.parquet(f"file://{tmp_path}/{name}")
         read.append(spark.read.parquet(f"file://{tmp_path}/{name}"))
-    out = gold._bridged(*read)
+    out = gold._bridged(*read, spark.createDataFrame([], "store_product_id long, store_sku string"))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, out.select("store_product_id", "canonical_product_id", "canonical_name").collect())) == [
         (10, 1, "milk"), (11, 1, "milk"), (13, 3, None), (14, 3, None)]
